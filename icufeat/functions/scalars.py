@@ -6,6 +6,7 @@ ANSI mode stays on, so casts and divisions go through their `try_` forms.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import pairwise
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -59,7 +60,7 @@ def right_closed_bins(
     """Label of the bin (edges[i], edges[i+1]] that holds the value."""
     x = as_col(c)
     binned = F.when(F.lit(False), F.lit(None).cast("string"))
-    for low, high, label in zip(edges, edges[1:], labels, strict=True):
+    for (low, high), label in zip(pairwise(edges), labels, strict=True):
         binned = binned.when((x > low) & (x <= high), F.lit(label))
     return binned.otherwise(F.lit(outside).cast("string"))
 
@@ -68,7 +69,7 @@ def left_closed_bins(c: str | Column, edges: Sequence[float], labels: Sequence[s
     """Label of the bin [edges[i], edges[i+1]) that holds the value."""
     x = as_col(c)
     binned = F.when(F.lit(False), F.lit(None).cast("string"))
-    for low, high, label in zip(edges, edges[1:], labels, strict=True):
+    for (low, high), label in zip(pairwise(edges), labels, strict=True):
         binned = binned.when((x >= low) & (x < high), F.lit(label))
     return binned
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -43,14 +43,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    """Join condition that also matches null keys."""
-    condition = F.lit(True)
-    for k in keys:
-        condition = condition & left[k].eqNullSafe(right[k])
-    return condition
-
-
 def join_small(
     big: DataFrame, small: DataFrame, keys: Sequence[str], *, max_rows: int = 20_000, salts: int = 32
 ) -> DataFrame:
@@ -66,16 +58,22 @@ def join_small(
     facts = [c for c in small.columns if c not in keys]
     renamed = [F.col(k).alias(f"__k_{k}") for k in keys] + [F.col(c) for c in facts]
 
-    def matched(left: DataFrame, right: DataFrame, extra: Column | None = None) -> DataFrame:
-        condition = F.lit(True) if extra is None else extra
-        for k in keys:
-            condition = condition & left[k].eqNullSafe(right[f"__k_{k}"])
-        return left.join(right, condition).drop(*[f"__k_{k}" for k in keys])
-
     if fetched.num_rows <= max_rows:
         local = spark.createDataFrame(fetched, schema=small.schema).select(*renamed)
-        return matched(big, F.broadcast(local))
-    salted_big = big.withColumn("__salt", F.pmod(F.xxhash64(*big.columns), F.lit(salts)))
-    copies = small.select(*renamed, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("__copy"))
-    joined = matched(salted_big, copies, F.col("__salt") == F.col("__copy"))
-    return joined.drop("__salt", "__copy")
+        condition = F.lit(True)
+        for k in keys:
+            condition = condition & big[k].eqNullSafe(local[f"__k_{k}"])
+        return big.join(F.broadcast(local), condition).drop(*[f"__k_{k}" for k in keys])
+    return salted_join(big, small, keys, salts=salts)
+
+
+def salted_join(big: DataFrame, facts: DataFrame, keys: Sequence[str], *, salts: int = 32) -> DataFrame:
+    """Inner join with one row of facts per key, copied `salts` times so that a hot key spreads."""
+    copies = facts.withColumnsRenamed({k: f"__k_{k}" for k in keys}).withColumn(
+        "__copy", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    )
+    salted = big.withColumn("__salt", F.pmod(F.xxhash64(*big.columns), F.lit(salts)))
+    condition = F.col("__salt") == F.col("__copy")
+    for k in keys:
+        condition = condition & salted[k].eqNullSafe(copies[f"__k_{k}"])
+    return salted.join(copies, condition).drop("__salt", "__copy", *[f"__k_{k}" for k in keys])
