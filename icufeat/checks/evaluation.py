@@ -7,7 +7,7 @@ from itertools import pairwise
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from icufeat.checks.base import Check, r4, read, tidy
+from icufeat.checks.base import NUDGE, Check, r4, read, tidy
 from icufeat.functions.order_stats import exact_ranks
 from icufeat.operators import evaluate, report
 from icufeat.plans import specs
@@ -33,9 +33,9 @@ def predictions(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("user_id") % 5 + 1).alias("fold"),
         "ts",
         "y_true",
-        F.round(F.col("y_true") * 0.8 + F.col("user_mean") * 0.2 + (F.col("k") % 11 - 5), 3).alias("y_pred"),
-        F.round(F.col("user_mean") - (F.col("k") % 30) - 12, 3).alias("lower"),
-        F.round(F.col("user_mean") + (F.col("k") % 30) + 12, 3).alias("upper"),
+        F.round(F.col("y_true") * 0.8 + F.col("user_mean") * 0.2 + (F.col("k") % 11 - 5) + NUDGE, 3).alias("y_pred"),
+        F.round(F.col("user_mean") - (F.col("k") % 30) - 12 + NUDGE, 3).alias("lower"),
+        F.round(F.col("user_mean") + (F.col("k") % 30) + 12 + NUDGE, 3).alias("upper"),
     )
 
 
@@ -45,8 +45,8 @@ PREDS = """WITH raw AS (
          CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) AS k FROM events),
 preds AS (
   SELECT key, target, user_id % 5 + 1 AS fold, ts, y_true,
-         round(y_true * 0.8 + user_mean * 0.2 + (k % 11 - 5), 3) AS y_pred,
-         round(user_mean - (k % 30) - 12, 3) AS lower, round(user_mean + (k % 30) + 12, 3) AS upper
+         round(y_true * 0.8 + user_mean * 0.2 + (k % 11 - 5) + 0.0000013, 3) AS y_pred,
+         round(user_mean - (k % 30) - 12 + 0.0000013, 3) AS lower, round(user_mean + (k % 30) + 12 + 0.0000013, 3) AS upper
   FROM (SELECT *, avg(y_true) OVER (PARTITION BY user_id, target) AS user_mean FROM raw)),
 err AS (SELECT *, y_true - y_pred AS error, abs(y_true - y_pred) AS abs_error, upper - lower AS width FROM preds)"""
 
@@ -210,7 +210,7 @@ CHECKS: dict[str, Check] = {
               count(CASE WHEN width > p33 AND width <= p66 THEN 1 END) AS medium_risk, count(CASE WHEN width > p66 THEN 1 END) AS high_risk
               FROM err JOIN q USING (target) GROUP BY target),
         r AS (SELECT *, (low_risk * 24 * 0.5 + medium_risk * 24 * 0.75 + high_risk * 24) * 3.0 AS reduced FROM c)
-        SELECT target, low_risk, medium_risk, high_risk, 72000.0 AS baseline_minutes, {r4('reduced')} AS reduced_minutes,
+        SELECT target, low_risk, medium_risk, high_risk, CAST(72000 AS DOUBLE) AS baseline_minutes, {r4('reduced')} AS reduced_minutes,
         {r4('72000.0 - reduced')} AS saved_minutes, {r4('(72000.0 - reduced) / 60')} AS nurse_hours_saved,
         {r4('(72000.0 - reduced) * 100 / 72000.0')} AS percent_saved, {r4('high_risk * 0.2 * 30')} AS early_warning_minutes FROM r""",
     ),

@@ -44,9 +44,15 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def join_small(
-    big: DataFrame, small: DataFrame, keys: Sequence[str], *, max_rows: int = 20_000, salts: int = 32
+    big: DataFrame,
+    small: DataFrame,
+    keys: Sequence[str],
+    *,
+    how: str = "inner",
+    max_rows: int = 20_000,
+    salts: int = 32,
 ) -> DataFrame:
-    """Inner join of a big frame with per-key facts that are usually few.
+    """Join of a big frame with per-key facts that are usually few; inner or left.
 
     The facts are fetched up to `max_rows + 1` rows. When they fit the bound they
     are broadcast, so the big side does not move. Beyond it, the facts are copied
@@ -63,12 +69,14 @@ def join_small(
         condition = F.lit(True)
         for k in keys:
             condition = condition & big[k].eqNullSafe(local[f"__k_{k}"])
-        return big.join(F.broadcast(local), condition).drop(*[f"__k_{k}" for k in keys])
-    return salted_join(big, small, keys, salts=salts)
+        return big.join(F.broadcast(local), condition, how).drop(*[f"__k_{k}" for k in keys])
+    return salted_join(big, small, keys, how=how, salts=salts)
 
 
-def salted_join(big: DataFrame, facts: DataFrame, keys: Sequence[str], *, salts: int = 32) -> DataFrame:
-    """Inner join with one row of facts per key, copied `salts` times so that a hot key spreads."""
+def salted_join(
+    big: DataFrame, facts: DataFrame, keys: Sequence[str], *, how: str = "inner", salts: int = 32
+) -> DataFrame:
+    """Inner or left join with one row of facts per key, copied `salts` times so that a hot key spreads."""
     copies = facts.withColumnsRenamed({k: f"__k_{k}" for k in keys}).withColumn(
         "__copy", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     )
@@ -76,4 +84,4 @@ def salted_join(big: DataFrame, facts: DataFrame, keys: Sequence[str], *, salts:
     condition = F.col("__salt") == F.col("__copy")
     for k in keys:
         condition = condition & salted[k].eqNullSafe(copies[f"__k_{k}"])
-    return salted.join(copies, condition).drop("__salt", "__copy", *[f"__k_{k}" for k in keys])
+    return salted.join(copies, condition, how).drop("__salt", "__copy", *[f"__k_{k}" for k in keys])
