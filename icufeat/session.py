@@ -25,21 +25,26 @@ def local_session(cores: str = "*", shuffle_partitions: int = 8, app: str = "icu
     )
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the folder the session names.
+def ready_checkpoints(spark: SparkSession) -> None:
+    """Make sure checkpoints have a folder, the one the session names if it names one.
 
     Only a local master may fall back to a folder of its own: on a cluster that
     folder would exist on one machine only.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="icufeat-checkpoint-")
-        context.setCheckpointDir(folder)
+    if context.getCheckpointDir() is not None:
+        return
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if folder is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        folder = tempfile.mkdtemp(prefix="icufeat-checkpoint-")
+    context.setCheckpointDir(folder)
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint: survives lost executors and stops recomputation."""
+    ready_checkpoints(df.sparkSession)
     return df.checkpoint()
 
 
