@@ -284,13 +284,14 @@ def _document(spark: SparkSession, folder: str) -> DataFrame:
     return doc.select(F.to_json(F.struct("*")).alias("document"))
 
 
+# Intervals, stacks and strata have queries of their own; this one shows the whole path.
 FAST = pipeline.Options(
     folds=2,
     impute_rounds=5,
     settings=[{"trees": 3, "depth": 2}],
-    stack_settings={"base_boosting": ("boosting", {"trees": 2, "depth": 2}), "base_forest": ("forest", {"trees": 3, "depth": 2})},
+    with_stack=False,
     with_strata=False,
-    interval_passes=4,
+    with_interval=False,
 )
 
 
