@@ -268,7 +268,7 @@ def long_families(c, cohort, **kw) -> dict[str, DataFrame]:
 
 
 def _assembled(c, cohort) -> DataFrame:
-    f = long_families(c, cohort)
+    f = long_families(c, None)
     return assemble(
         cohort, [f["pressure"]], [f[n] for n in ("vitals", "labs", "medications", "temporal", "comorbidities")], "icustay_id"
     )

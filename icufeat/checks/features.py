@@ -26,13 +26,13 @@ def wide_table(spark: SparkSession, folder: str) -> DataFrame:
     return tidy(
         assemble(
             cohort,
-            [external.pressure(c["vitalperiodic"], cohort)],
+            [external.pressure(c["vitalperiodic"])],
             [
-                external.vitals(c["vitalperiodic"], c["nursecharting"], cohort),
-                external.labs(c["lab"], cohort),
-                external.medications(c["medication"], cohort),
-                external.temporal(c["vitalperiodic"], cohort),
-                external.comorbidities(c["diagnosis"], cohort),
+                external.vitals(c["vitalperiodic"], c["nursecharting"]),
+                external.labs(c["lab"]),
+                external.medications(c["medication"]),
+                external.temporal(c["vitalperiodic"]),
+                external.comorbidities(c["diagnosis"]),
             ],
             "patientunitstayid",
         )

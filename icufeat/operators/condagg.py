@@ -109,6 +109,12 @@ def named_means(
     return per_name.groupBy(key).agg(*out)
 
 
-def keep_keys(df: DataFrame, cohort: DataFrame, key: str) -> DataFrame:
-    """Rows whose key is in the cohort. Apply after aggregation: one row per key moves."""
+def keep_keys(df: DataFrame, cohort: DataFrame | None, key: str) -> DataFrame:
+    """Rows whose key is in the cohort; all rows without one.
+
+    Apply after aggregation: one row per key moves. A family that is joined to the
+    cohort anyway needs no cohort here.
+    """
+    if cohort is None:
+        return df
     return df.join(cohort.select(key), key, "left_semi")

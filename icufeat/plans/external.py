@@ -48,7 +48,7 @@ def cohort(
     return first_rows(rows, [KEY], limit)
 
 
-def pressure(vitalperiodic: DataFrame, keys: DataFrame, *, strict: bool = False) -> DataFrame:
+def pressure(vitalperiodic: DataFrame, keys: DataFrame | None = None, *, strict: bool = False) -> DataFrame:
     """Blood-pressure statistics; `strict` uses the check variant's ranges and counts."""
     having = "sbp_mean IS NOT NULL AND dbp_mean IS NOT NULL AND sbp_count >= 2"
     if strict:
@@ -63,7 +63,7 @@ def pressure(vitalperiodic: DataFrame, keys: DataFrame, *, strict: bool = False)
 
 
 def vitals(
-    vitalperiodic: DataFrame, nursecharting: DataFrame, keys: DataFrame, *, minutes: int = 60, fan_out: bool = True
+    vitalperiodic: DataFrame, nursecharting: DataFrame, keys: DataFrame | None = None, *, minutes: int = 60, fan_out: bool = True
 ) -> DataFrame:
     """Vitals with the coma score charted within `minutes` of a vital row.
 
@@ -91,7 +91,7 @@ def vitals(
     return keep_keys(joined.groupBy(KEY).agg(*columns, gcs), keys, KEY)
 
 
-def strict_vitals(vitalperiodic: DataFrame, keys: DataFrame) -> DataFrame:
+def strict_vitals(vitalperiodic: DataFrame, keys: DataFrame | None = None) -> DataFrame:
     """Check variant: tight ranges, valid-measurement counts, no coma score."""
     out = conditional_agg(
         vitalperiodic,
@@ -102,13 +102,13 @@ def strict_vitals(vitalperiodic: DataFrame, keys: DataFrame) -> DataFrame:
     return keep_keys(out, keys, KEY)
 
 
-def labs(lab: DataFrame, keys: DataFrame, *, strict: bool = False) -> DataFrame:
+def labs(lab: DataFrame, keys: DataFrame | None = None, *, strict: bool = False) -> DataFrame:
     rows = lab.where(F.col("labresult") > 0)
     chosen = specs.STRICT_LABS if strict else specs.NAMED_LABS
     return keep_keys(named_means(rows, KEY, "labname", "labresult", chosen), keys, KEY)
 
 
-def medications(medication: DataFrame, keys: DataFrame) -> DataFrame:
+def medications(medication: DataFrame, keys: DataFrame | None = None) -> DataFrame:
     """Distinct drug names per class."""
     out = conditional_agg(
         medication,
@@ -120,7 +120,7 @@ def medications(medication: DataFrame, keys: DataFrame) -> DataFrame:
     return keep_keys(out, keys, KEY)
 
 
-def temporal(vitalperiodic: DataFrame, keys: DataFrame, *, min_rows: int = 3) -> DataFrame:
+def temporal(vitalperiodic: DataFrame, keys: DataFrame | None = None, *, min_rows: int = 3) -> DataFrame:
     out = conditional_agg(
         vitalperiodic,
         KEY,
@@ -131,7 +131,7 @@ def temporal(vitalperiodic: DataFrame, keys: DataFrame, *, min_rows: int = 3) ->
     return keep_keys(out, keys, KEY)
 
 
-def comorbidities(diagnosis: DataFrame, keys: DataFrame) -> DataFrame:
+def comorbidities(diagnosis: DataFrame, keys: DataFrame | None = None) -> DataFrame:
     out = conditional_agg(
         diagnosis,
         KEY,

@@ -58,7 +58,7 @@ def valid_chart(chartevents: DataFrame, codes: tuple[int, ...]) -> DataFrame:
     )
 
 
-def pressure(chartevents: DataFrame, keys: DataFrame) -> DataFrame:
+def pressure(chartevents: DataFrame, keys: DataFrame | None = None) -> DataFrame:
     out = conditional_agg(
         valid_chart(chartevents, specs.LONG_PRESSURE_CODES),
         KEY,
@@ -69,12 +69,12 @@ def pressure(chartevents: DataFrame, keys: DataFrame) -> DataFrame:
     return keep_keys(out, keys, KEY)
 
 
-def vitals(chartevents: DataFrame, keys: DataFrame) -> DataFrame:
+def vitals(chartevents: DataFrame, keys: DataFrame | None = None) -> DataFrame:
     rows = valid_chart(chartevents, specs.LONG_VITAL_CODES)
     return keep_keys(conditional_agg(rows, KEY, specs.LONG_VITALS), keys, KEY)
 
 
-def pressure_and_vitals(chartevents: DataFrame, keys: DataFrame) -> DataFrame:
+def pressure_and_vitals(chartevents: DataFrame, keys: DataFrame | None = None) -> DataFrame:
     """Both families from one scan and one shuffle; the stays of `pressure`.
 
     The row filter of the pressure family moves into its value: a pressure reading
@@ -92,7 +92,7 @@ def pressure_and_vitals(chartevents: DataFrame, keys: DataFrame) -> DataFrame:
     return keep_keys(out, keys, KEY)
 
 
-def labs(icustays: DataFrame, labevents: DataFrame, keys: DataFrame) -> DataFrame:
+def labs(icustays: DataFrame, labevents: DataFrame, keys: DataFrame | None = None) -> DataFrame:
     """Lab means of the admission; stays without any listed lab do not appear.
 
     The means are taken per admission before the join, so only one row per
@@ -104,7 +104,7 @@ def labs(icustays: DataFrame, labevents: DataFrame, keys: DataFrame) -> DataFram
     return stays.join(per_admission, "hadm_id").drop("hadm_id")
 
 
-def medications(inputevents: DataFrame, d_items: DataFrame, keys: DataFrame) -> DataFrame:
+def medications(inputevents: DataFrame, d_items: DataFrame, keys: DataFrame | None = None) -> DataFrame:
     """Infusion rows per drug class; rewritten and status-less rows are left out.
 
     Rows are counted per (stay, item) first: the dictionary join and the label
@@ -131,7 +131,7 @@ def series(chartevents: DataFrame) -> DataFrame:
     return typed_series(rows, [KEY, "charttime", "itemid"], specs.LONG_SERIES, "num")
 
 
-def temporal(chartevents: DataFrame, keys: DataFrame, *, paired: bool = False) -> DataFrame:
+def temporal(chartevents: DataFrame, keys: DataFrame | None = None, *, paired: bool = False) -> DataFrame:
     """Variability features.
 
     By default a change is the step between neighbouring rows of any vital and the
@@ -147,7 +147,7 @@ def temporal(chartevents: DataFrame, keys: DataFrame, *, paired: bool = False) -
     return keep_keys(series_statistics(changes, KEY, "charttime"), keys, KEY)
 
 
-def comorbidities(icustays: DataFrame, diagnoses: DataFrame, keys: DataFrame) -> DataFrame:
+def comorbidities(icustays: DataFrame, diagnoses: DataFrame, keys: DataFrame | None = None) -> DataFrame:
     per_admission = conditional_agg(diagnoses, "hadm_id", specs.ICD9_FLAGS, once_per=["icd9_code"])
     stays = keep_keys(icustays.select(KEY, "hadm_id"), keys, KEY)
     return stays.join(per_admission, "hadm_id").drop("hadm_id")
