@@ -11,6 +11,7 @@ from icufeat.checks import clinical, evaluation, features
 from icufeat.checks.base import NUDGE, Check, over_views, r4, read, tidy
 from icufeat.functions.order_stats import modes, unpivoted
 from icufeat.operators import correlate, evaluate, missing, models, prepare, report, scaling
+from icufeat.operators.assemble import feature_coverage
 from icufeat.operators.chained import fit_chained
 from icufeat.operators.folds import fold_balance, group_folds
 from icufeat.operators.neighbours import neighbour_fill
@@ -113,12 +114,61 @@ def _dropped(spark: SparkSession, folder: str) -> DataFrame:
     return tidy(kept)
 
 
+def _counted(listed: DataFrame, table: DataFrame, name: str) -> DataFrame:
+    """A list of columns with the number of values each has in the table."""
+    numeric = [c for c in missing.numeric_columns(table)]
+    held = feature_coverage(table, numeric).select(F.col("feature").alias(name), "n_present")
+    zero = F.lit(0).cast("bigint")
+    return listed.join(held, name, "left").withColumn("n_present", F.coalesce("n_present", zero))
+
+
 def _leaks(spark: SparkSession, folder: str) -> DataFrame:
-    return prepare.leak_report(features.long_table(spark, folder))
+    table = features.long_table(spark, folder)
+    return _counted(prepare.leak_report(table), table, "column")
+
+
+LEAKS_SQL = over_views(
+    features.LONG_VIEWS,
+    f"WITH {features.LONG_TABLE} "
+    + " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", '{p}' AS pattern, count({c}) AS n_present FROM base"
+        for c, p in (
+            ("sbp_mean", "sbp_mean"), ("dbp_mean", "dbp_mean"), ("map_mean", "map_mean"),
+            ("sbp_mean_verify", "verify"), ("sbp_std_verify", "verify"),
+        )
+    ),
+)
 
 
 def _difference(spark: SparkSession, folder: str) -> DataFrame:
-    return prepare.column_difference(gaps(spark, folder), ["click", "view", "hr_mean"])
+    table = gaps(spark, folder)
+    return _counted(prepare.column_difference(table, ["click", "view", "hr_mean"]), table, "feature")
+
+
+DIFFERENCE_SQL = f"WITH {GAPS} SELECT 'hr_mean' AS feature, 'missing' AS status, 0 AS n_present UNION ALL " + " UNION ALL ".join(
+    f"SELECT '{c}', 'extra', count({c}) FROM gaps" for c in ("key", "user_id", "purchase", "signup", "error", "n")
+)
+
+
+def _catalogue(spark: SparkSession, folder: str) -> DataFrame:
+    table = features.long_table(spark, folder).drop("gender", "ethnicity", "language")
+    return _counted(report.feature_catalogue(table).drop("description"), table, "feature")
+
+
+NOT_IN_TABLE = {
+    "gender", "ethnicity", "language", "dbp_mean_verify", "dbp_std_verify", "age_creatinine_product",
+    "vasopressor_lactate_interaction", "bun_creatinine_ratio", "perfusion_index", "lactate_mean_squared", "lactate_mean_sqrt",
+}
+CATALOGUE_SQL = over_views(
+    features.LONG_VIEWS,
+    f"WITH {features.LONG_TABLE} "
+    + " UNION ALL ".join(
+        f"SELECT '{c}' AS category, '{f}' AS feature, {str(f not in NOT_IN_TABLE).lower()} AS present,"
+        f" {0 if f in NOT_IN_TABLE else f'(SELECT count({f}) FROM base)'} AS n_present"
+        for c, (_, fs) in report.FEATURE_CATALOGUE.items()
+        for f in fs
+    ),
+)
 
 
 def _sensitivity(spark: SparkSession, folder: str) -> DataFrame:
@@ -263,6 +313,12 @@ def _importance(spark: SparkSession, folder: str) -> DataFrame:
     return report.top_features(models.importance_table(a, b, MODEL_FEATURES, spark))
 
 
+def _important(spark: SparkSession, folder: str) -> DataFrame:
+    m = matrix(spark, folder)
+    model = models.fit_regressor(m, MODEL_FEATURES, "dbp_mean", setting=SMALL)
+    return tidy(m.select("key", *models.important_features(model, MODEL_FEATURES)))
+
+
 def _permutation(spark: SparkSession, folder: str) -> DataFrame:
     m = matrix(spark, folder)
     model = models.fit_regressor(m, MODEL_FEATURES, "sbp_mean", setting=SMALL)
@@ -326,6 +382,7 @@ CHECKS: dict[str, Check] = {
         f" {r4('coalesce(purchase, (SELECT median(purchase) FROM gaps))')} AS purchase FROM gaps",
     ),
     "imputation_sensitivity": Check(_sensitivity, _sens_sql()),
+    "imputation_dispatch": Check(lambda s, f: tidy(missing.impute(gaps(s, f), "key", exclude=["user_id"]))),
     "chained_imputation": Check(_chained),
     "neighbour_imputation": Check(_neighbours),
     "correlation_pairs": Check(
@@ -365,7 +422,7 @@ CHECKS: dict[str, Check] = {
     "feature_alignment": Check(
         _align, f"WITH {GAPS} SELECT key, {r4('n')} AS n, CAST(2015 AS DOUBLE) AS admit_year, {r4('click')} AS click, CAST(0.5 AS DOUBLE) AS gender_male, CAST(0 AS DOUBLE) AS troponin_mean FROM gaps"
     ),
-    "feature_difference": Check(_difference),
+    "feature_difference": Check(_difference, DIFFERENCE_SQL),
     "model_columns_without_leaks": Check(
         _dropped,
         over_views(
@@ -374,7 +431,7 @@ CHECKS: dict[str, Check] = {
             " sbp_mean_verify, sbp_std_verify, hr_sbp_corr, rr_sbp_corr, spo2_sbp_corr, sbp_std, dbp_std, sbp_lability_events) FROM base",
         ),
     ),
-    "leak_names": Check(_leaks),
+    "leak_names": Check(_leaks, LEAKS_SQL),
     "leak_audit": Check(
         lambda s, f: tidy(prepare.leak_audit(gaps(s, f).withColumn("y", F.col("click") * 3 - 2), ["click", "view", "n"], ["y"])),
         f"WITH {GAPS}, t AS (SELECT *, click * 3 - 2 AS y FROM gaps) "
@@ -383,7 +440,7 @@ CHECKS: dict[str, Check] = {
             for c in ("click", "view", "n")
         ),
     ),
-    "feature_catalogue": Check(lambda s, f: report.feature_catalogue(features.long_table(s, f)).drop("description")),
+    "feature_catalogue": Check(_catalogue, CATALOGUE_SQL),
     "group_folds": Check(_folds, FOLD_SQL),
     "robust_scaling": Check(_scaled, SCALED_SQL),
     "power_transform": Check(_bent, _bent_sql()),
@@ -400,6 +457,7 @@ CHECKS: dict[str, Check] = {
     "stratum_models": Check(_strata),
     "feature_importance": Check(_importance),
     "permutation_importance": Check(_permutation),
+    "important_features": Check(_important),
     "metrics_document": Check(_document),
     "train_and_validate_externally": Check(_external),
 }

@@ -10,6 +10,7 @@ from icufeat.operators.assemble import first_rows
 from icufeat.operators.condagg import conditional_agg, keep_keys
 from icufeat.operators.temporal import paired_series, series_statistics, typed_series, with_changes
 from icufeat.plans import specs
+from icufeat.session import join_small
 
 KEY = "icustay_id"
 
@@ -115,7 +116,7 @@ def medications(inputevents: DataFrame, d_items: DataFrame, keys: DataFrame | No
         .groupBy(KEY, "itemid")
         .agg(F.count(F.lit(1)).alias("__n"))
     )
-    labelled = counted.join(d_items.select("itemid", "label"), "itemid")
+    labelled = join_small(counted, d_items.select("itemid", "label"), ["itemid"], max_rows=200_000)
     zero = F.lit(0).cast("bigint")
     out = labelled.groupBy(KEY).agg(
         *[
