@@ -92,29 +92,43 @@ def unpivoted(df: DataFrame, columns: Sequence[str], as_type: str = "double") ->
     return df.select(F.explode(F.array(*pairs)).alias("__p")).select("__p.column", "__p.value")
 
 
-def exact_ranks(df: DataFrame, groups: Sequence[str], value: str, *, slices: int = 64) -> DataFrame:
-    """(groups…, value, n_tied, n_below, average_rank) per distinct value.
+def value_slices(df: DataFrame, groups: Sequence[str], value: str, *, step: int = 32) -> DataFrame:
+    """(groups…, __cuts, __coarse): up to step² - 1 sketched quantiles and every step-th of them.
 
-    Equal values collapse before the shuffle. Each group is cut into slices at its
-    own sketched quantiles; the cuts are stored, so both uses of them agree.
+    The cuts are stored, because two computations of a sketch may differ while all
+    users of the slices must agree.
     """
-    cuts = cut_lineage(
-        df.where(F.col(value).isNotNull())
-        .groupBy(*groups, F.lit(0).alias("__all"))
-        .agg(
-            F.percentile_approx(
-                value, F.array(*[F.lit(i / slices) for i in range(1, slices)]), F.lit(10_000)
-            ).alias("__cuts")
-        )
+    count = step * step
+    probs = F.array(*[F.lit(i / count) for i in range(1, count)])
+    cuts = df.where(F.col(value).isNotNull()).groupBy(*groups).agg(
+        F.percentile_approx(value, probs, F.lit(10_000)).alias("__cuts")
     )
+    places = F.array(*[F.lit(i) for i in range(step - 1, count - step, step)])
+    return cut_lineage(cuts.withColumn("__coarse", F.transform(places, lambda i: F.get("__cuts", i))))
+
+
+def slice_of(value: str, *, step: int = 32) -> Column:
+    """Number of cuts below the value, found by a coarse and a fine scan."""
+    coarse = F.size(F.filter("__coarse", lambda cut: cut < F.col(value)))
+    fine = F.size(F.filter(F.slice("__cuts", coarse * step + 1, F.lit(step)), lambda cut: cut < F.col(value)))
+    return coarse * step + fine
+
+
+def exact_ranks(df: DataFrame, groups: Sequence[str], value: str) -> DataFrame:
+    """(groups…, value, n_tied, n_below, average_rank) per distinct value.
+
+    Equal values collapse before the shuffle, and each group is cut into slices at
+    its own quantiles, so a hot group is spread over many tasks.
+    """
+    df = df.withColumn("__all", F.lit(0))
+    cuts = value_slices(df, [*groups, "__all"], value)
     tallied = (
         df.where(F.col(value).isNotNull())
-        .groupBy(*groups, F.lit(0).alias("__all"), value)
+        .groupBy(*groups, "__all", value)
         .agg(F.count(F.lit(1)).alias("n_tied"))
     )
-    sliced = join_small(tallied, cuts, [*groups, "__all"]).withColumn(
-        "__slice", F.size(F.filter("__cuts", lambda cut: cut < F.col(value)))
-    ).drop("__cuts")
+    joined = join_small(tallied, cuts, [*groups, "__all"])
+    sliced = joined.withColumn("__slice", slice_of(value)).drop("__cuts", "__coarse")
     summed = running_sums(
         sliced, [*groups, "__all"], "__slice", [F.col(value)], {"__upto": F.col("n_tied")}
     )

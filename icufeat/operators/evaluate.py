@@ -11,12 +11,12 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from icufeat.functions.order_stats import exact_quantiles, exact_ranks
+from icufeat.functions.order_stats import exact_quantiles, exact_ranks, slice_of, value_slices
 from icufeat.functions.prefix import running_sums
 from icufeat.functions.scalars import correlation, percent, right_closed_bins
 from icufeat.functions.student import p_value
 from icufeat.plans import specs
-from icufeat.session import cut_lineage, join_small, salted_join
+from icufeat.session import join_small, salted_join
 
 WITHIN = (5, 10, 15)
 
@@ -258,20 +258,12 @@ def width_trend(preds: DataFrame, by: Sequence[str] = ("target",)) -> DataFrame:
     )
 
 
-def every_nth(preds: DataFrame, n: int = 10, *, slices: int = 64) -> DataFrame:
+def every_nth(preds: DataFrame, n: int = 10) -> DataFrame:
     """Every n-th row of each target by true value, beginning with the first; ties by key."""
     rows = preds.where("y_true IS NOT NULL")
-    cuts = cut_lineage(
-        rows.groupBy("target").agg(
-            F.percentile_approx(
-                "y_true", F.array(*[F.lit(i / slices) for i in range(1, slices)]), F.lit(10_000)
-            ).alias("__cuts")
-        )
-    )
-    sliced = join_small(rows, cuts, ["target"]).withColumn(
-        "__slice", F.size(F.filter("__cuts", lambda cut: cut < F.col("y_true")))
-    )
+    cuts = value_slices(rows, ["target"], "y_true")
+    sliced = join_small(rows, cuts, ["target"]).withColumn("__slice", slice_of("y_true")).drop("__cuts", "__coarse")
     numbered = running_sums(
-        sliced.drop("__cuts"), ["target"], "__slice", [F.col("y_true"), F.col("key")], {"__row": F.lit(1)}
+        sliced, ["target"], "__slice", [F.col("y_true"), F.col("key")], {"__row": F.lit(1)}
     )
     return numbered.where((F.col("__row") - 1) % n == 0).drop("__row", "__slice")
