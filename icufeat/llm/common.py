@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterable, Iterator, Mapping
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -96,3 +97,10 @@ def join_facts(big: DataFrame, facts: DataFrame, key: str, count: str, total: in
         .withColumn("__f", F.coalesce("__h", "__c"))
         .select(*[F.col(c) for c in big.columns], *[F.col(f"__f.{n}").alias(n) for n in names])
     )
+
+
+def in_slices(batches: Iterable[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """Batches in pieces of few rows, so that long texts do not pile up as Python objects."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)

@@ -24,6 +24,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from icufeat.llm.common import in_slices
+
 SPACE = "▁"
 LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -353,9 +355,3 @@ def token_digests(docs: DataFrame, model_file: str, *, key: str = "doc_id", text
 
     return docs.select(F.col(key), F.col(text)).mapInArrow(run, schema)
 
-
-def in_slices(batches: Iterable[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
-    """Batches in pieces of few rows, so that long texts do not pile up as Python objects."""
-    for b in batches:
-        for at in range(0, b.num_rows, rows):
-            yield b.slice(at, rows)

@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from icufeat.llm.common import read
+from icufeat.llm import languages, quality, rules
+from icufeat.llm.common import read, remainder, stored
 from icufeat.llm.pieces import token_digests
 
 
@@ -17,11 +19,36 @@ def tokenizer_file(name: str = "piece_bpe_32k.model") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """A row without doc_id is scored, but never learned from nor counted as held out."""
+    docs = read(spark, folder, "documents")
+    fold = remainder("doc_id", 3)
+    stats = stored(quality.with_statistics(docs, extra={"held_out": F.coalesce(fold == 1, F.lit(False))}), "op1")
+    labels = read(spark, folder, "labels").filter(remainder("doc_id", 3) != 1)
+    return quality.score(stats, quality.fit_quality(stats, labels))
+
+
+def op3_rules(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read(spark, folder, "documents")
+    return rules.judge(docs, rules.fit_classifier(docs, read(spark, folder, "labels")))
+
+
+def op6_language(spark: SparkSession, folder: str) -> DataFrame:
+    """A row without doc_id gets a prediction, but is never learned from nor counted as held out."""
+    docs = read(spark, folder, "documents")
+    fold = remainder("doc_id", 5)
+    profiles = languages.learn_profiles(docs.filter(fold != 0))
+    return languages.identify(docs, profiles, extra={"held_out": F.coalesce(fold == 0, F.lit(False))})
+
+
 def op7_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     return token_digests(read(spark, folder, "documents"), tokenizer_file())
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality": op1_quality,
+    "op3_rules": op3_rules,
+    "op6_language": op6_language,
     "op7_sentencepiece": op7_sentencepiece,
 }
 
