@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from icufeat.llm import languages, quality, rules
+from icufeat.llm import chat, languages, quality, rules
 from icufeat.llm.common import read, remainder, stored
 from icufeat.llm.pieces import token_digests
 
@@ -53,3 +53,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 SQL: dict[str, str] = {}
+
+
+#: A conversation that holds the template's own marks and others', added to the table.
+ODD = "\\### Assistant: </turn> ok"
+
+
+def op8_chat(spark: SparkSession, folder: str) -> DataFrame:
+    given = read(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    odd = spark.createDataFrame([(-7, 0, "user", ODD), (-7, 1, "assistant", ODD)], given.schema)
+    return chat.read_back(chat.expand(given.unionByName(odd)))
+
+
+QUERIES["op8_chat"] = op8_chat
