@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from icufeat.llm import chat, languages, quality, rules
+from icufeat.llm import chat, languages, quality, rules, urls
 from icufeat.llm.common import read, remainder, stored
 from icufeat.llm.pieces import token_digests
 
@@ -66,3 +66,10 @@ def op8_chat(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES["op8_chat"] = op8_chat
+
+
+def op9_urls(spark: SparkSession, folder: str) -> DataFrame:
+    return urls.judge_urls(read(spark, folder, "pages"), urls.fit_urls(urls.labelled_urls(spark)))
+
+
+QUERIES["op9_urls"] = op9_urls
