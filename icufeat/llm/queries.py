@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from icufeat.llm import chat, languages, quality, rules, urls
-from icufeat.llm.common import read, remainder, stored
+from icufeat.llm import chat, languages, quality, rules, topk, urls, warc
+from icufeat.llm.common import new_folder, read, remainder, stored
 from icufeat.llm.pieces import token_digests
 
 
@@ -73,3 +73,60 @@ def op9_urls(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES["op9_urls"] = op9_urls
+
+
+def op2_warc(spark: SparkSession, folder: str) -> DataFrame:
+    path = new_folder(spark, "warc")
+    warc.write_archives(read(spark, folder, "pages"), path)
+    captures = warc.assemble(warc.read_archives(spark, path, payload=False))
+    # The archives name a page in the metadata record, and the response a revisit refers to by its identifier.
+    page = F.map_from_entries(F.col("metadata")[0]["fields"])["pageId"]
+    return captures.select(
+        page.try_cast("long").alias("page_id"),
+        F.col("response.payload_bytes").alias("payload_bytes"),
+        F.col("response.payload_digest").alias("payload_digest"),
+        F.col("response.record_type").alias("record_type"),
+        F.regexp_extract("response.refers_to", "^<urn:capture:(-?[0-9]+):", 1).try_cast("long").alias("refers_to"),
+        F.col("response.intact").alias("intact"),
+        F.explode(F.sequence(F.lit(1), "copies")).alias("copy"),
+    ).drop("copy")
+
+
+QUERIES["op2_warc"] = op2_warc
+
+SQL["op2_warc"] = """
+WITH p AS (
+  SELECT page_id, encode(coalesce(html, '')) AS body FROM pages
+), d AS (
+  SELECT page_id, octet_length(body) AS payload_bytes, sha256(body) AS payload_digest FROM p
+), f AS (
+  SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM d
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 100 AND first_id <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 100 AND first_id <> page_id THEN first_id END AS refers_to,
+       CASE WHEN payload_bytes >= 100 AND first_id <> page_id THEN NULL ELSE TRUE END AS intact
+FROM f
+"""
+
+
+def op5_topk(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.top_k(read(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+QUERIES["op5_topk"] = op5_topk
+
+SQL["op5_topk"] = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda e: CAST(floor(256 * CAST(e AS DOUBLE)) AS DOUBLE)) AS x
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_inner_product(q.x, c.x) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
+), r AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s
+)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+"""

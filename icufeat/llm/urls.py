@@ -17,8 +17,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Lengths of the n-grams, slots they are hashed to, and strength of the regularisation.
-LENGTHS, SLOTS, RIDGE = (3, 4), 1 << 13, 0.002
-BLOCK_AT = 0.5
+LENGTHS, SLOTS, RIDGE = (3, 4, 5), 1 << 14, 0.002
+#: Without a rule, only what is clearly unwanted is blocked.
+BLOCK_AT = 0.8
 
 #: Rules host/path; at most some hundred, since each is tried on each URL.
 RULES = (("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow"))
