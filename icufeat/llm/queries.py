@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from icufeat.llm import chat, languages, quality, rules, topk, urls, warc
+from icufeat.llm import chat, languages, mixing, quality, rules, topk, urls, warc
 from icufeat.llm.common import new_folder, read, remainder, stored
 from icufeat.llm.pieces import token_digests
 
@@ -130,3 +130,12 @@ WITH v AS (
 )
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
+
+
+def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    out = mixing.mix_table(read(spark, folder, "documents"))
+    return out.withColumns({c: F.round(c, 6) for c in ("weight", "probability")})
+
+
+QUERIES["op4_mixing"] = op4_mixing
+SQL["op4_mixing"] = mixing.mix_sql()
