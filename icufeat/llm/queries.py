@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from icufeat.llm import chat, languages, mixing, quality, rules, topk, urls, warc
+from icufeat.llm import chat, jaccard, languages, mixing, quality, rules, topk, urls, warc
 from icufeat.llm.common import new_folder, read, remainder, stored
 from icufeat.llm.pieces import token_digests
 
@@ -139,3 +139,10 @@ def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES["op4_mixing"] = op4_mixing
 SQL["op4_mixing"] = mixing.mix_sql()
+
+
+def op10_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.jaccard_groups(read(spark, folder, "documents"))
+
+
+QUERIES["op10_jaccard"] = op10_jaccard
