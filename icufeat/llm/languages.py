@@ -150,3 +150,18 @@ def identify(docs: DataFrame, profiles: Profiles, *, key: str = "doc_id", text:
             )
 
     return given.mapInArrow(run, schema)
+
+
+def in_language(docs: DataFrame, profiles: Profiles, least: float, *, text: str = "text") -> DataFrame:
+    """The rows of `docs`, all columns, whose text is in a learned language by a score of `least` or more."""
+    at = docs.columns.index(text)
+
+    def good(t: str | None) -> bool:
+        name, score = closest(t, profiles)
+        return name != UNKNOWN and score >= least
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in in_slices(batches):
+            yield part.filter(pa.array([good(t) for t in part.column(at).to_pylist()], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
