@@ -73,22 +73,26 @@ def vitals(
     """
     name = F.col("nursingchartcelltypevalname")
     score = F.when(name.contains("Glasgow") | name.contains("GCS"), number("nursingchartvalue"))
-    joined = band_left_join(
-        vitalperiodic, nursecharting, KEY, "observationoffset", "nursingchartoffset", minutes, score
-    )
+    # Only stays of the cohort are windowed.
+    rows, notes = keep_keys(vitalperiodic, keys, KEY), keep_keys(nursecharting, keys, KEY)
+    joined = band_left_join(rows, notes, KEY, "observationoffset", "nursingchartoffset", minutes, score)
+    valid_values = {out: F.when(F.expr(valid), F.col(source)) for out, _, source, valid in specs.WIDE_VITALS}
+    spreads = [out for out, agg, _, _ in specs.WIDE_VITALS if agg == "std"]
+    centres = rows.groupBy(KEY).agg(*[F.avg(valid_values[out]).alias(f"__centre_{out}") for out in spreads])
+    joined = joined.join(centres, KEY, "left")
     weight = F.col("fan_out") if fan_out else F.lit(1).cast("bigint")
     columns = []
-    for out, agg, source, valid in specs.WIDE_VITALS:
-        x = F.when(F.expr(valid), F.col(source))
+    for out, agg, _, _ in specs.WIDE_VITALS:
+        x = valid_values[out]
         column = {
             "avg": lambda x=x: weighted_avg(x, weight),
-            "std": lambda x=x: weighted_std(x, weight),
+            "std": lambda x=x, out=out: weighted_std(x, weight, F.col(f"__centre_{out}")),
             "min": lambda x=x: F.min(x),
             "max": lambda x=x: F.max(x),
         }[agg]()
         columns.append(column.alias(out))
     gcs = F.try_divide(F.sum("sum_values"), F.sum("n_values")).alias("gcs_mean")
-    return keep_keys(joined.groupBy(KEY).agg(*columns, gcs), keys, KEY)
+    return joined.groupBy(KEY).agg(*columns, gcs)
 
 
 def strict_vitals(vitalperiodic: DataFrame, keys: DataFrame | None = None) -> DataFrame:

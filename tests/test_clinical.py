@@ -2,9 +2,11 @@
 
 from datetime import datetime
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from icufeat.operators.bandjoin import band_left_join
+from icufeat.operators.bandjoin import band_left_join, weighted_std
 from icufeat.operators.condagg import Feature, conditional_agg
 from icufeat.plans import external, internal
 from icufeat.sources.catalog import LONG_SCHEMAS, WIDE_SCHEMAS
@@ -146,6 +148,26 @@ def test_band_totals_equal_all_pairs(spark):
             assert r["sum_values"] == pytest.approx(sum(hits))
 
 
+def test_extreme_values_stay_in_their_bands(spark):
+    """An infinity or a huge value reaches the bands that hold it, and no later one."""
+    right = [(1, 0, 5.0), (1, 10, 1e17), (1, 30, float("inf")), (1, 100, 5.0), (1, 101, 7.0), (1, 102, None), (1, None, 3.0), (None, 5, 4.0)]
+    left = [(1, t) for t in (-3, 0, 5, 10, 33, 97, 100, 104, 200)] + [(1, None), (None, 5), (1, 100)]
+    out = band_left_join(spark.createDataFrame(left, "k INT, t INT"), spark.createDataFrame(right, "k INT, u INT, v DOUBLE"), "k", "t", "u", 3, "v").collect()
+    assert len(out) == len(left)
+    for r in out:
+        hits = [v for k, u, v in right if k is not None and u is not None and k == r["k"] and r["t"] is not None and abs(r["t"] - u) <= 3]
+        values = [v for v in hits if v is not None]
+        assert (r["n_matched"], r["n_values"]) == (len(hits), len(values)) and (r["sum_values"] or 0.0) == sum(values)
+
+
+def test_spread_of_large_values(spark):
+    """Values near 1e8 keep the digits of their spread."""
+    beats, offset = [99.1, 99.2, 99.3], 10.0
+    large = spark.createDataFrame([(1e8 + v / offset, 2) for v in beats], "x DOUBLE, w BIGINT")
+    got = large.agg(weighted_std(F.col("x"), F.col("w"), F.lit(1e8)).alias("s")).first()["s"]
+    assert got == pytest.approx(np.std([v / offset for v in beats for _ in range(2)], ddof=1), rel=1e-6)
+
+
 def test_wide_labs_overlap_and_ph(spark):
     keys = spark.createDataFrame([(1,)], "patientunitstayid BIGINT")
     rows = [(1, "pCO2", 40.0), (1, "total CO2", 20.0), (1, "phosphate", 7.0), (1, "Phosphate", 9.0), (1, "sodium", -1.0), (1, "sodium", None)]
