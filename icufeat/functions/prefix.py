@@ -13,11 +13,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _attach(df: DataFrame, carry: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _attach(df: DataFrame, carry: DataFrame, keys: Sequence[str], plain: Sequence[str] = ()) -> DataFrame:
+    """Left join of a row per key. Keys in `plain` are never null: equality keeps the partitioning that the window made."""
     carry = carry.withColumnsRenamed({k: f"__c_{k}" for k in keys})
     condition = F.lit(True)
     for k in keys:
-        condition = condition & df[k].eqNullSafe(carry[f"__c_{k}"])
+        same = df[k] == carry[f"__c_{k}"] if k in plain else df[k].eqNullSafe(carry[f"__c_{k}"])
+        condition = condition & same
     return df.join(carry, condition, "left").drop(*[f"__c_{k}" for k in keys])
 
 
@@ -53,7 +55,8 @@ def previous_values(
     """Adds, for each `new: source` of `columns`, the source value of the preceding row.
 
     `skip_nulls` looks back to the last row that has a value instead. `order` must
-    be unique within the key for a repeatable result.
+    be unique within the key for a repeatable result. Rows without a key, or without a
+    bucket, have no place on a time line and get null.
     """
     keys = [key, bucket]
     inside = Window.partitionBy(*keys).orderBy(*order)
@@ -75,7 +78,7 @@ def previous_values(
         summary = summary.agg(*[F.max_by(s, rank).alias(f"__s_{n}") for n, s in columns.items()])
         carry = {n: F.lag(f"__s_{n}").over(by_bucket) for n in columns}
     carried = summary.select(*keys, *[c.alias(f"__p_{n}") for n, c in carry.items()])
-    joined = _attach(local, carried, keys)
+    joined = _attach(local, carried, keys, plain=keys)
     if skip_nulls:
         filled = {n: F.coalesce(F.col(n), F.col(f"__p_{n}")) for n in columns}
     else:

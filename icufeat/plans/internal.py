@@ -116,7 +116,7 @@ def medications(inputevents: DataFrame, d_items: DataFrame, keys: DataFrame | No
         .groupBy(KEY, "itemid")
         .agg(F.count(F.lit(1)).alias("__n"))
     )
-    labelled = join_small(counted, d_items.select("itemid", "label"), ["itemid"], max_rows=200_000)
+    labelled = join_small(counted, d_items.select("itemid", "label"), ["itemid"])
     zero = F.lit(0).cast("bigint")
     out = labelled.groupBy(KEY).agg(
         *[
@@ -139,13 +139,14 @@ def temporal(chartevents: DataFrame, keys: DataFrame | None = None, *, paired: b
     cross-vital correlations, which need two vitals on one row, stay null. `paired`
     puts the vitals of one moment side by side and steps over gaps.
     """
-    rows = series(chartevents)
+    # Only stays of the cohort are windowed.
+    rows = series(keep_keys(chartevents, keys, KEY)).where(F.col(KEY).isNotNull())
     if paired:
         rows = paired_series(rows, KEY, "charttime", list(specs.LONG_SERIES))
         changes = with_changes(rows, KEY, "charttime", ["sbp", "hr"], skip_nulls=True)
     else:
         changes = with_changes(rows, KEY, "charttime", ["sbp", "hr"], ties=["itemid"])
-    return keep_keys(series_statistics(changes, KEY, "charttime"), keys, KEY)
+    return series_statistics(changes, KEY, "charttime")
 
 
 def comorbidities(icustays: DataFrame, diagnoses: DataFrame, keys: DataFrame | None = None) -> DataFrame:

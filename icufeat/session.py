@@ -1,4 +1,4 @@
-"""Session set-up, lineage cuts and size-checked broadcasts."""
+"""Session set-up, lineage cuts and joins with per-key facts."""
 
 from __future__ import annotations
 
@@ -48,34 +48,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def join_small(
-    big: DataFrame,
-    small: DataFrame,
-    keys: Sequence[str],
-    *,
-    how: str = "inner",
-    max_rows: int = 20_000,
-    salts: int = 32,
-) -> DataFrame:
-    """Join of a big frame with per-key facts that are usually few; inner or left.
+def join_small(big: DataFrame, small: DataFrame, keys: Sequence[str], *, how: str = "inner") -> DataFrame:
+    """Inner or left join with one row of facts per key; null keys meet.
 
-    The facts are fetched up to `max_rows + 1` rows. When they fit the bound they
-    are broadcast, so the big side does not move. Beyond it, the facts are copied
-    `salts` times and joined on (keys, salt), which spreads a hot key.
+    A plain join: Spark measures the facts when it has them, broadcasts what fits its
+    threshold in bytes, and otherwise joins by shuffle and splits the partitions of hot keys.
     """
-    keys = list(keys)
-    spark = small.sparkSession
-    fetched = small.limit(max_rows + 1).toArrow()
-    facts = [c for c in small.columns if c not in keys]
-    renamed = [F.col(k).alias(f"__k_{k}") for k in keys] + [F.col(c) for c in facts]
-
-    if fetched.num_rows <= max_rows:
-        local = spark.createDataFrame(fetched, schema=small.schema).select(*renamed)
-        condition = F.lit(True)
-        for k in keys:
-            condition = condition & big[k].eqNullSafe(local[f"__k_{k}"])
-        return big.join(F.broadcast(local), condition, how).drop(*[f"__k_{k}" for k in keys])
-    return salted_join(big, small, keys, how=how, salts=salts)
+    facts = small.withColumnsRenamed({k: f"__k_{k}" for k in keys})
+    condition = F.lit(True)
+    for k in keys:
+        condition = condition & big[k].eqNullSafe(facts[f"__k_{k}"])
+    return big.join(facts, condition, how).drop(*[f"__k_{k}" for k in keys])
 
 
 def salted_join(
