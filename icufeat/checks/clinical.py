@@ -17,26 +17,32 @@ from icufeat.sources.standin import clinical_catalog
 
 # --- comparison SQL -------------------------------------------------------------------
 
-LONG_COHORT = """cohort AS (
-  SELECT DISTINCT p.subject_id, p.gender, date_diff('year', p.dob, a.admittime) AS age, a.hadm_id, i.icustay_id,
-         i.first_careunit, date_diff('hour', i.intime, i.outtime) AS icu_los_hours,
-         CASE WHEN a.deathtime IS NOT NULL THEN 1 ELSE 0 END AS hospital_mortality,
-         p.dod IS NOT NULL AS deceased, year(a.admittime) AS admit_year, a.insurance, a.language, a.ethnicity
-  FROM patients p JOIN admissions a ON p.subject_id = a.subject_id JOIN icustays i ON a.hadm_id = i.hadm_id
-  WHERE date_diff('year', p.dob, a.admittime) BETWEEN 18 AND 89
-    AND date_diff('hour', i.intime, i.outtime) >= 24)"""
-
-WIDE_COHORT = """cohort AS (
-  SELECT DISTINCT patientunitstayid, patienthealthsystemstayid, gender,
-         CASE WHEN age = '> 89' THEN 90 ELSE TRY_CAST(nullif(age, '') AS BIGINT) END AS age,
-         CASE WHEN unitdischargestatus = 'Expired' THEN 1 ELSE 0 END AS hospital_mortality,
-         unittype AS first_careunit,
-         CASE WHEN unitdischargeoffset > 0 THEN unitdischargeoffset / 60.0 END AS icu_los_hours,
-         ethnicity, hospitaladmitsource, admissionheight AS height, admissionweight AS weight,
-         'Unknown' AS insurance, 'Unknown' AS language, hospitalid, wardid, apacheadmissiondx
+# Stays with their patient and admission, measured once; the limits apply to the measured columns.
+LONG_COHORT = """timed_stays AS (
+  SELECT s.icustay_id, s.first_careunit, v.*, date_diff('hour', s.intime, s.outtime) AS icu_los_hours
+  FROM icustays s
+  JOIN (
+    SELECT w.hadm_id, w.insurance, w.language, w.ethnicity, year(w.admittime) AS admit_year,
+           CAST(w.deathtime IS NOT NULL AS INTEGER) AS hospital_mortality,
+           who.subject_id, who.gender, who.dod IS NOT NULL AS deceased, date_diff('year', who.dob, w.admittime) AS age
+    FROM admissions w JOIN patients who USING (subject_id)
+  ) v USING (hadm_id)
+), cohort AS (
+  SELECT DISTINCT subject_id, gender, age, hadm_id, icustay_id, first_careunit, icu_los_hours, hospital_mortality,
+         deceased, admit_year, insurance, language, ethnicity
+  FROM timed_stays WHERE icu_los_hours >= 24 AND age >= 18 AND age <= 89)"""
+
+# The age text becomes a number and the offset hours before anything is asked of them.
+WIDE_COHORT = """measured AS (
+  SELECT *, coalesce(TRY_CAST(nullif(age, '') AS BIGINT), CASE age WHEN '> 89' THEN 90 END) AS years,
+         CASE WHEN unitdischargeoffset > 0 THEN unitdischargeoffset / 60.0 END AS hours,
+         CAST(coalesce(unitdischargestatus = 'Expired', FALSE) AS INTEGER) AS died
   FROM patient
-  WHERE CASE WHEN age = '> 89' THEN 90 ELSE TRY_CAST(nullif(age, '') AS BIGINT) END BETWEEN 18 AND 89
-    AND unitdischargeoffset > 1440)"""
+), cohort AS (
+  SELECT DISTINCT m.* EXCLUDE (age, years, hours, died, unitdischargestatus, unittype, unitdischargeoffset, admissionheight, admissionweight),
+         years AS age, hours AS icu_los_hours, died AS hospital_mortality, unittype AS first_careunit,
+         admissionheight AS height, admissionweight AS weight, 'Unknown' AS insurance, 'Unknown' AS language
+  FROM measured m WHERE years >= 18 AND years <= 89 AND unitdischargeoffset > 1440)"""
 
 LONG_BASE = "patients admissions icustays"
 
