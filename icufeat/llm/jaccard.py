@@ -26,7 +26,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -159,13 +159,17 @@ def with_sets(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], *, key:
                         seen.clear()
                     seen.add((h, len(s)))
                 prefixes.append(prefix_of(s, *frequent, percent) if fresh else None)
-            yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(sizes, pa.int64()), pa.array(hashes, pa.int64()), pa.array(prefixes, pa.list_(pa.int64()))], schema.names
-            )
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes, pa.int64()), pa.array(hashes, pa.int64()), _lists(prefixes)], schema.names)
 
     return docs.select(key, text).mapInArrow(run, schema)
 
 
+def _lists(rows: list[np.ndarray | None]) -> pa.Array:
+    sizes = np.array([0 if r is None else len(r) for r in rows], np.int64)
+    offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32), mask=np.array([r is None for r in rows] + [False]))
+    return pa.ListArray.from_arrays(offsets, pa.array(np.concatenate([r for r in rows if r is not None] or [np.empty(0, np.int64)])))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(v, c) for every node of the undirected `edges` (a, b): the smallest node reachable.
 
@@ -196,7 +200,28 @@ def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     )
 
 
-def _linked(percent: int):
+def _up(x: Column, by: int) -> Column:
+    """x / by, rounded up, in whole numbers."""
+    return F.floor((x + by - 1) / by)
+
+
+def least_shared(n: Column, m: Column, percent: int) -> Column:
+    """Tokens that the prefixes of two linked sets of these sizes have in common at least.
+
+    What the set whose prefix ends first has behind it adds to the overlap at most that much.
+    """
+    return _up(percent * (n + m), 100 + percent) - _up(percent * F.greatest(n, m), 100) + 1
+
+
+def _distance() -> Column:
+    return 1 - F.col("common") / (F.col("na") + F.col("nb") - F.col("common"))
+
+
+def _nodes_of(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+
+
+def _linked(percent: int) -> Column:
     return 100 * F.col("common") >= percent * (F.col("na") + F.col("nb") - F.col("common"))
 
 
@@ -222,8 +247,6 @@ def jaccard_groups(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     lists = entries.join(shared.hint("shuffle_hash"), "token", "left_semi").distinct()
     lists = lists.select("token", "h", F.shiftright("np", 32).alias("n"), F.col("np").bitwiseAND(F.lit((1 << 32) - 1)).alias("pos"))
     lists = stored(lists.join(nodes.select("h", "n", "node"), ["h", "n"]).select("token", "node", "n", "pos"), "lists")
-    used = stored(lists.select("node").distinct(), "used")
-    sets = _whole_sets(docs, used)
 
     # Answers, first part: each set against the pivot that most of its lists have.
     first = lists.groupBy("token").agg(F.min(F.struct("node", "n")).alias("first"))
@@ -231,12 +254,15 @@ def jaccard_groups(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
         lists.join(first, "token")
         .select(F.col("node").alias("a"), "n", F.col("first.node").alias("b"), F.col("first.n").alias("m"))
         .filter((F.col("a") != F.col("b")) & (100 * F.least("n", "m") >= percent * F.greatest("n", "m")))
-        .groupBy("a", "b")
+        .groupBy("a", "b", "n", "m")
         .count()
+        .filter(F.col("count") >= least_shared(F.col("n"), F.col("m"), percent))
     )
     pairs = votes.groupBy("a").agg(F.max(F.struct("count", -F.col("b"))).alias("best")).select("a", (-F.col("best.col2")).alias("b"))
+    pairs = stored(pairs, "pairs")
+    sets = _whole_sets(docs, _nodes_of(pairs))
     near = stored(compared(pairs, sets).filter(_linked(percent)), "pivots")
-    pivots = near.select(F.col("a").alias("node"), F.col("b").alias("pivot"), (1 - F.col("common") / (F.col("na") + F.col("nb") - F.col("common"))).alias("away"), F.col("na").alias("size"))
+    pivots = near.select(F.col("a").alias("node"), F.col("b").alias("pivot"), _distance().alias("away"), F.col("na").alias("size"))
     groups = components(near.select("a", "b"))
 
     # Lists, second part: entries that meet another group there, in blocks.
@@ -248,27 +274,32 @@ def jaccard_groups(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     mixed = placed.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo <> hi").select("token")
     ratio = float(np.log(100 / percent))
     open_ = stored(placed.join(mixed, "token", "left_semi").withColumn("size", F.floor(F.log(F.col("n")) / ratio).cast("int")), "open")
-    place = F.floor(F.col("pos") * 16 / F.col("n")).cast("int")
     blocks = (
-        open_.withColumn("place", place)
-        .groupBy("token", "pivot", F.col("c").alias("d"), "size", "place")
-        .agg(F.min("n").alias("least"), F.max("n").alias("most"), F.max(F.col("n") - F.col("pos")).alias("rest"))
+        open_.withColumn("place", F.floor(F.col("pos") * 32 / F.col("n")).cast("int"))
+        .groupBy("token", F.col("pivot").alias("b"), F.col("c").alias("d"), "size", "place")
+        .agg(F.min("n").alias("least"), F.max("n").alias("most"), F.min("pos").alias("from"), F.max("pos").alias("to"))
+        .drop("place")
         .withColumn("size", F.explode(F.array(F.col("size") - 1, F.col("size"), F.col("size") + 1)))
     )
-    # A link needs percent / (100 + percent) of both sizes in common; no more is left than stands after the entry.
-    needed = percent * (F.col("n") + F.greatest(F.col("least"), F.ceil(F.col("n") * percent / 100)))
+    # The sizes a partner in the block can have, and the least a link has in common.
+    low = F.greatest(F.col("least"), _up(F.col("n") * percent, 100))
+    high = F.least(F.col("most"), F.floor(F.col("n") * 100 / percent))
+    common = _up(percent * (F.col("n") + low), 100 + percent)
+    # Before a shared token at places i and j there are min(i, j) tokens in common at most, after it no more than either set has left.
     met = (
-        open_.join(blocks.drop("place").withColumnRenamed("pivot", "b"), ["token", "size"])
-        .filter(F.col("c") > F.col("d"))
-        .filter((100 * F.col("n") >= percent * F.col("least")) & (100 * F.col("most") >= percent * F.col("n")))
-        .filter(((100 + percent) * (F.col("n") - F.col("pos")) >= needed) & ((100 + percent) * F.col("rest") >= needed))
-        .select(F.col("node").alias("a"), "b")
-        .filter("a <> b")
-        .distinct()
+        open_.join(blocks, ["token", "size"])
+        .filter((F.col("c") > F.col("d")) & (F.col("node") != F.col("b")) & (low <= high))
+        .filter((F.col("pos") - F.col("to") <= F.col("n") - common) & (F.col("from") - F.col("pos") <= F.col("most") - common))
+        .groupBy(F.col("node").alias("a"), "b")
+        .agg(F.count("*").alias("shared"), F.min(F.least(least_shared(F.col("n"), low, percent), least_shared(F.col("n"), high, percent))).alias("needed"))
+        .filter(F.col("shared") >= F.col("needed"))
+        .select("a", "b")
     )
+    met = stored(met, "met")
+    sets = sets.unionByName(_whole_sets(docs, _nodes_of(met).join(sets.select("node"), "node", "left_anti")))
     answers = stored(compared(met, sets), "answers")
     # Members of a pivot that the distances leave open: |away(x) - away(z)| <= distance of x and z.
-    unlike = answers.filter(~_linked(percent)).select("a", "na", F.col("b").alias("pivot"), (1 - F.col("common") / (F.col("na") + F.col("nb") - F.col("common"))).alias("far"))
+    unlike = answers.filter(~_linked(percent)).select("a", "na", F.col("b").alias("pivot"), _distance().alias("far"))
     slack = 1 - percent / 100 + 1e-9
     left = (
         unlike.join(pivots.select(F.col("node").alias("b"), "pivot", "away", "size"), "pivot")
@@ -290,14 +321,13 @@ def jaccard_groups(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
 
 
 def _whole_sets(docs: DataFrame, used: DataFrame) -> DataFrame:
-    """(node, tokens) of the documents that stand for a node in some list, stored."""
+    """(node, tokens) of the documents that stand for the nodes in `used`, stored; if these are few, Spark sees so from their size and moves no text."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in in_slices(batches):
-            tokens = pa.array([shingles(t) for t in part.column(1).to_pylist()], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([part.column(0), tokens], ["node", "tokens"])
+            yield pa.RecordBatch.from_arrays([part.column(0), _lists([shingles(t) for t in part.column(1).to_pylist()])], ["node", "tokens"])
 
-    wanted = docs.join(used.withColumnRenamed("node", "id"), "id", "left_semi")
+    wanted = docs.join(stored(used, "used").withColumnRenamed("node", "id"), "id", "left_semi")
     return stored(wanted.mapInArrow(run, "node bigint, tokens array<bigint>").filter(F.size("tokens") > 0), "tokens")
 
 
