@@ -446,7 +446,10 @@ CHECKS: dict[str, Check] = {
     "power_transform": Check(_bent, _bent_sql()),
     "power_fit": Check(_powers),
     "blend_and_route": Check(_routed, ROUTED_SQL),
-    "seeded_sample": Check(lambda s, f: tidy(models.seeded_sample(gaps(s, f), "key"))),
+    "seeded_sample": Check(
+        lambda s, f: tidy(models.seeded_sample(gaps(s, f), "key")),
+        f"WITH {GAPS} SELECT key, user_id, {', '.join(f'{r4(c)} AS {c}' for c in (*KINDS, 'n'))} FROM gaps ORDER BY md5('42:' || CAST(key AS VARCHAR)), key LIMIT 500",
+    ),
     "boosting_model": Check(_scores("boosting", SMALL)),
     "forest_model": Check(_scores("forest", {"trees": 5, "depth": 3})),
     "grid_search": Check(_grid),
