@@ -334,6 +334,25 @@ def _neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return tidy(neighbour_fill(gaps(spark, folder), "key", [*KINDS, "n"]))
 
 
+def _neighbours_sql() -> str:
+    """Every row against every donor, column by column."""
+    columns = (*KINDS, "n")
+    squares = " + ".join(f"coalesce(pow(r.{c} - q.{c}, 2), 0)" for c in columns)
+    common = " + ".join(f"CAST(r.{c} - q.{c} IS NOT NULL AS INTEGER)" for c in columns)
+    parts = [
+        f"""SELECT key, '{c}' AS col, sum(w * v) / sum(w) AS filled FROM (
+          SELECT key, v, CASE WHEN min(dist) OVER (PARTITION BY key) = 0 THEN CAST(dist = 0 AS DOUBLE) ELSE 1 / dist END AS w FROM (
+            SELECT r.key, q.{c} AS v, sqrt({len(columns)} * ({squares}) / nullif({common}, 0)) AS dist
+            FROM gaps r JOIN gaps q ON r.{c} IS NULL AND q.{c} IS NOT NULL
+            QUALIFY dist IS NOT NULL AND row_number() OVER (PARTITION BY r.key ORDER BY dist, q.key) <= 5)) GROUP BY key"""
+        for c in KINDS
+    ]
+    filled = ", ".join(
+        f"{r4(f'coalesce(g.{c}, (SELECT filled FROM f WHERE f.key = g.key AND col = {chr(39)}{c}{chr(39)}), (SELECT avg({c}) FROM gaps))')} AS {c}" for c in KINDS
+    )
+    return f"WITH {GAPS}, f AS MATERIALIZED ({' UNION ALL '.join(parts)}) SELECT g.key, g.user_id, {filled}, {r4('g.n')} AS n FROM gaps g"
+
+
 def _document(spark: SparkSession, folder: str) -> DataFrame:
     p = evaluation.predictions(spark, folder)
     doc = metrics_document("events", "run", evaluate.fold_metrics(p, ["target"]), evaluate.agreement(p), evaluate.fold_metrics(p))
@@ -384,7 +403,7 @@ CHECKS: dict[str, Check] = {
     "imputation_sensitivity": Check(_sensitivity, _sens_sql()),
     "imputation_dispatch": Check(lambda s, f: tidy(missing.impute(gaps(s, f), "key", exclude=["user_id"]))),
     "chained_imputation": Check(_chained),
-    "neighbour_imputation": Check(_neighbours),
+    "neighbour_imputation": Check(_neighbours, _neighbours_sql()),
     "correlation_pairs": Check(
         lambda s, f: tidy(prepare.pair_correlations(gaps(s, f), KINDS)), f"WITH {GAPS} {_corr_sql('gaps')}"
     ),
