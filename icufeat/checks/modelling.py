@@ -238,7 +238,20 @@ def _bent_sql() -> str:
 def _powers(spark: SparkSession, folder: str) -> DataFrame:
     g = gaps(spark, folder)
     rows = [(c, p) for c, p in scaling.fit_powers(g, KINDS).items()]
-    return spark.createDataFrame(rows, "column STRING, power DOUBLE")
+    return tidy(spark.createDataFrame(rows, "column STRING, power DOUBLE"))
+
+
+def _powers_sql() -> str:
+    """Likelihoods on a wide grid in steps of 0.05, then the top of the parabola through the best point and its neighbours."""
+    up = "CASE WHEN p = 0 THEN ln(1 + greatest(x, 0)) ELSE (pow(greatest(x, 0) + 1, p) - 1) / p END"
+    down = "CASE WHEN p = 2 THEN -ln(1 - least(x, 0)) ELSE -(pow(1 - least(x, 0), 2 - p) - 1) / (2 - p) END"
+    values = " UNION ALL ".join(f"SELECT '{c}' AS \"column\", {c} AS x FROM gaps WHERE {c} IS NOT NULL" for c in KINDS)
+    return f"""WITH {GAPS}, v AS ({values}), g AS (SELECT k * 5 / 100.0 AS p FROM range(-100, 141) r(k)),
+    l AS (SELECT "column", p, -count(*) / 2.0 * ln(var_pop(CASE WHEN x >= 0 THEN {up} ELSE {down} END))
+      + (p - 1) * sum(sign(x) * ln(1 + abs(x))) AS score FROM v, g GROUP BY 1, 2),
+    n AS (SELECT *, lag(score) OVER w AS a, lead(score) OVER w AS c, row_number() OVER (PARTITION BY "column" ORDER BY score DESC) AS best
+      FROM l WINDOW w AS (PARTITION BY "column" ORDER BY p))
+    SELECT "column", {r4('p + 0.05 * 0.5 * (a - c) / (a - 2 * score + c)')} AS power FROM n WHERE best = 1"""
 
 
 def _routed(spark: SparkSession, folder: str) -> DataFrame:
@@ -463,7 +476,7 @@ CHECKS: dict[str, Check] = {
     "group_folds": Check(_folds, FOLD_SQL),
     "robust_scaling": Check(_scaled, SCALED_SQL),
     "power_transform": Check(_bent, _bent_sql()),
-    "power_fit": Check(_powers),
+    "power_fit": Check(_powers, _powers_sql()),
     "blend_and_route": Check(_routed, ROUTED_SQL),
     "seeded_sample": Check(
         lambda s, f: tidy(models.seeded_sample(gaps(s, f), "key")),
