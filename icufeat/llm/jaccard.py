@@ -269,44 +269,23 @@ def jaccard_groups(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     placed = (
         lists.join(pivots.select("node", "pivot"), "node", "left")
         .join(groups.select(F.col("v").alias("node"), "c"), "node", "left")
-        .select("token", "node", "n", "pos", F.coalesce("pivot", "node").alias("pivot"), F.coalesce("c", "node").alias("c"))
+        .select("token", "node", "n", "pos", F.coalesce("pivot", "node").alias("pivot"), F.coalesce("c", "node").alias("c"), F.col("c").isNotNull().alias("joint"))
     )
     mixed = placed.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo <> hi").select("token")
     ratio = float(np.log(100 / percent))
     open_ = stored(placed.join(mixed, "token", "left_semi").withColumn("size", F.floor(F.log(F.col("n")) / ratio).cast("int")), "open")
-    blocks = (
-        open_.withColumn("place", F.floor(F.col("pos") * 32 / F.col("n")).cast("int"))
-        .groupBy("token", F.col("pivot").alias("b"), F.col("c").alias("d"), "size", "place")
-        .agg(F.min("n").alias("least"), F.max("n").alias("most"), F.min("pos").alias("from"), F.max("pos").alias("to"))
-        .drop("place")
-        .withColumn("size", F.explode(F.array(F.col("size") - 1, F.col("size"), F.col("size") + 1)))
-    )
-    # The sizes a partner in the block can have, and the least a link has in common.
-    low = F.greatest(F.col("least"), _up(F.col("n") * percent, 100))
-    high = F.least(F.col("most"), F.floor(F.col("n") * 100 / percent))
-    common = _up(percent * (F.col("n") + low), 100 + percent)
-    # Before a shared token at places i and j there are min(i, j) tokens in common at most, after it no more than either set has left.
-    met = (
-        open_.join(blocks, ["token", "size"])
-        .filter((F.col("c") > F.col("d")) & (F.col("node") != F.col("b")) & (low <= high))
-        .filter((F.col("pos") - F.col("to") <= F.col("n") - common) & (F.col("from") - F.col("pos") <= F.col("most") - common))
-        .groupBy(F.col("node").alias("a"), "b")
-        .agg(F.count("*").alias("shared"), F.min(F.least(least_shared(F.col("n"), low, percent), least_shared(F.col("n"), high, percent))).alias("needed"))
-        .filter(F.col("shared") >= F.col("needed"))
-        .select("a", "b")
-    )
-    met = stored(met, "met")
+    held = stored(open_.groupBy("node").agg(F.collect_set("token").alias("tokens")), "held")
+    lone = open_.filter("NOT joint").select("token", "size", "node", "n", "pos")
+    alone = _first_shared(lone, lone, ["token", "size"], held, percent).filter("a > b")
+    met = stored(alone.unionByName(_joint_pairs(open_, percent)).distinct(), "met")
     sets = sets.unionByName(_whole_sets(docs, _nodes_of(met).join(sets.select("node"), "node", "left_anti")))
     answers = stored(compared(met, sets), "answers")
     # Members of a pivot that the distances leave open: |away(x) - away(z)| <= distance of x and z.
     unlike = answers.filter(~_linked(percent)).select("a", "na", F.col("b").alias("pivot"), _distance().alias("far"))
     slack = 1 - percent / 100 + 1e-9
-    left = (
-        unlike.join(pivots.select(F.col("node").alias("b"), "pivot", "away", "size"), "pivot")
-        .filter((F.col("far") - F.col("away") <= slack) & (100 * F.least("na", "size") >= percent * F.greatest("na", "size")) & (F.col("a") != F.col("b")))
-        .select("a", "b")
-        .distinct()
-    )
+    asking = open_.join(unlike.select(F.col("a").alias("node"), F.col("pivot").alias("group"), "far"), "node").select("token", "size", "group", "node", "n", "pos", "far")
+    members = open_.filter("node <> pivot").join(pivots.select("node", "away"), "node").select("token", "size", F.col("pivot").alias("group"), "node", "n", "pos", "away")
+    left = _first_shared(asking, members, ["token", "size", "group"], held, percent, F.col("far") - F.col("away") <= slack)
     derived = compared(left, sets).filter(_linked(percent)).select("a", "b")
     links = near.select("a", "b").unionByName(answers.filter(_linked(percent)).select("a", "b")).unionByName(derived)
     found = components(links)
@@ -320,6 +299,64 @@ def jaccard_groups(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     return out.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))
 
 
+def _prefix_size(n: Column, percent: int) -> Column:
+    return n - _up(n * percent, 100) + 1
+
+
+def _near_sizes(df: DataFrame) -> DataFrame:
+    """Each row under its own size class and its neighbours'; sizes of linked sets differ by one class at most."""
+    return df.withColumn("size", F.explode(F.array(F.col("size") - 1, F.col("size"), F.col("size") + 1)))
+
+
+def _first_shared(left: DataFrame, right: DataFrame, keys: list[str], held: DataFrame, percent: int, more: Column | None = None) -> DataFrame:
+    """(a, b) of sets whose prefixes share as much as those of linked sets do, one from each frame of list entries.
+
+    The first of k shared tokens has k - 1 behind it in either prefix, so entries further
+    back are skipped: in the list of a passage that many texts hold, nearly all.
+    """
+    other = _near_sizes(right.withColumnsRenamed({"node": "b", "n": "m", "pos": "at"}))
+    k = least_shared(F.col("n"), F.col("m"), percent)
+    pairs = (
+        left.join(other, keys)
+        .filter((F.col("node") != F.col("b")) & (100 * F.least("n", "m") >= percent * F.greatest("n", "m")))
+        .filter((F.col("pos") <= _prefix_size(F.col("n"), percent) - k) & (F.col("at") <= _prefix_size(F.col("m"), percent) - k))
+        .filter(F.lit(True) if more is None else more)
+        .select(F.col("node").alias("a"), "b", k.alias("k"))
+        .distinct()
+    )
+    both = pairs.join(held.select(F.col("node").alias("a"), F.col("tokens").alias("__ta")), "a").join(held.select(F.col("node").alias("b"), F.col("tokens").alias("__tb")), "b")
+    return both.filter(F.size(F.array_intersect("__ta", "__tb")) >= F.col("k")).select("a", "b")
+
+
+def _joint_pairs(entries: DataFrame, percent: int) -> DataFrame:
+    """(a, b) of sets and the pivots of groups that they meet often enough for a link to a member.
+
+    Lone sets meet the groups, never the other way round; of two groups the one of greater
+    label meets the other. A group's entries in a list are blocks by size and place.
+    """
+    blocks = _near_sizes(
+        entries.filter("joint")
+        .withColumn("place", F.floor(F.col("pos") * 32 / F.col("n")).cast("int"))
+        .groupBy("token", F.col("pivot").alias("b"), F.col("c").alias("d"), "size", "place")
+        .agg(F.min("n").alias("least"), F.max("n").alias("most"), F.min("pos").alias("from"), F.max("pos").alias("to"))
+        .drop("place")
+    )
+    # The sizes a partner in the block can have, and the least a link has in common.
+    low = F.greatest(F.col("least"), _up(F.col("n") * percent, 100))
+    high = F.least(F.col("most"), F.floor(F.col("n") * 100 / percent))
+    common = _up(percent * (F.col("n") + low), 100 + percent)
+    # Before a shared token at places i and j there are min(i, j) tokens in common at most, after it no more than either set has left.
+    return (
+        entries.join(blocks, ["token", "size"])
+        .filter((~F.col("joint") | (F.col("c") > F.col("d"))) & (F.col("node") != F.col("b")) & (low <= high))
+        .filter((F.col("pos") - F.col("to") <= F.col("n") - common) & (F.col("from") - F.col("pos") <= F.col("most") - common))
+        .groupBy(F.col("node").alias("a"), "b")
+        .agg(F.count("*").alias("shared"), F.min(F.least(least_shared(F.col("n"), low, percent), least_shared(F.col("n"), high, percent))).alias("needed"))
+        .filter(F.col("shared") >= F.col("needed"))
+        .select("a", "b")
+    )
+
+
 def _whole_sets(docs: DataFrame, used: DataFrame) -> DataFrame:
     """(node, tokens) of the documents that stand for the nodes in `used`, stored; if these are few, Spark sees so from their size and moves no text."""
 
