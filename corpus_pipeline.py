@@ -17,6 +17,8 @@ from icufeat.llm.queries import tokenizer_file
 
 #: Texts that are closer to no learned language than this are in none.
 LEAST_LANGUAGE_SCORE = 0.35
+#: Near-duplicates share this percentage of their shingles of that many words at least.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,7 +34,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document of smallest id of each linked group."""
-    return jaccard.one_of_each(docs)
+    return jaccard.one_of_each(docs, words=NEAR_WORDS, percent=NEAR_PERCENT)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

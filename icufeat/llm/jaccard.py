@@ -1,7 +1,7 @@
 """Documents whose word n-gram sets overlap, joined exactly and grouped by links.
 
-A set holds the different 4-word shingles of a text, each by a 64-bit hash; equal sets are
-one node of the graph. Two sets of Jaccard similarity t share a token among the first
+A set holds the different shingles of `words` words of a text, each by a 64-bit hash; equal
+sets are one node of the graph. Two sets of Jaccard similarity t share a token among the first
 |x| - ceil(t |x|) + 1 of any common token order, so inverted lists over these prefixes
 find every pair. The order puts tokens that many texts share last, which keeps lists
 short; it does not change the result.
@@ -32,6 +32,7 @@ from pyspark.sql import types as T
 
 from icufeat.llm.common import WORD, in_slices, join_facts, stored
 
+#: Words of a shingle.
 WORDS = 4
 #: A link is 100 * common >= PERCENT * union.
 PERCENT = 85
@@ -51,32 +52,32 @@ def _known_words() -> dict[str, int]:
     return {}
 
 
-def shingles(text: str | None) -> np.ndarray:
+def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
     """Sorted hashes of a text's different shingles, A-Z lower-cased; the whole sequence if it is shorter than one."""
-    words = _words(text or "")
-    if not words:
+    given = _words(text or "")
+    if not given:
         return np.empty(0, np.int64)
     known = _known_words()
     if len(known) > REMEMBERED:
         known.clear()
     try:
-        numbers = [known[w] for w in words]
+        numbers = [known[w] for w in given]
     except KeyError:
-        for w in words:
+        for w in given:
             if w not in known:
                 known[w] = xxhash.xxh3_64_intdigest(w.translate(_LOWER).encode("utf-8", "surrogatepass")) - (1 << 63)
-        numbers = [known[w] for w in words]
+        numbers = [known[w] for w in given]
     a = np.array(numbers, np.int64).view(np.uint64)
     with np.errstate(over="ignore"):
         m = np.uint64(0xD6E8FEB86659FD93)
-        if len(a) < WORDS:
-            h = np.array([len(a)], np.uint64)  # a short text's shingle never equals one of four words
+        if len(a) < words:
+            h = np.array([len(a)], np.uint64)  # a short text's shingle never equals one of full length
             for w in a:
                 h = h * m + w
         else:
-            n = len(a) - WORDS + 1
-            h = np.full(n, WORDS, np.uint64)
-            for k in range(WORDS):
+            n = len(a) - words + 1
+            h = np.full(n, words, np.uint64)
+            for k in range(words):
                 h = h * m + a[k : n + k]
         h = (h ^ (h >> np.uint64(32))) * m
         h ^= h >> np.uint64(29)
@@ -87,7 +88,7 @@ def prefix_size(n: int, percent: int = PERCENT) -> int:
     return n - -(-percent * n // 100) + 1 if n else 0
 
 
-def frequent_tokens(docs: DataFrame, *, text: str = "text") -> tuple[np.ndarray, np.ndarray]:
+def frequent_tokens(docs: DataFrame, *, text: str = "text", words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
     """The tokens that seem most frequent, sorted, and their counts: FREQUENT of them at most.
 
     Each task reports tokens that repeat among its own texts. What it misses only makes
@@ -105,7 +106,7 @@ def frequent_tokens(docs: DataFrame, *, text: str = "text") -> tuple[np.ndarray,
 
         for part in in_slices(batches):
             for t in part.column(0).to_pylist():
-                held.append(shingles(t))
+                held.append(shingles(t, words))
                 size += len(held[-1])
             if size >= COUNTED:
                 yield from report()
@@ -131,7 +132,9 @@ def prefix_of(tokens: np.ndarray, frequent: np.ndarray, counts: np.ndarray, perc
     return tokens[: prefix_size(len(tokens), percent)]
 
 
-def with_sets(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], *, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
+def with_sets(
+    docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], *, key: str = "doc_id", text: str = "text", percent: int = PERCENT, words: int = WORDS
+) -> DataFrame:
     """(key, n, h, prefix): size and hash of every row's set, and its prefix.
 
     The prefix is null where the same task has given it for an equal set already, so a set
@@ -149,7 +152,7 @@ def with_sets(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], *, key:
         for part in in_slices(batches):
             sizes, hashes, prefixes = [], [], []
             for k, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                s = shingles(t)
+                s = shingles(t, words)
                 h = xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63)
                 sizes.append(len(s))
                 hashes.append(h)
@@ -225,7 +228,7 @@ def _linked(percent: int) -> Column:
     return 100 * F.col("common") >= percent * (F.col("na") + F.col("nb") - F.col("common"))
 
 
-def jaccard_groups(docs: DataFrame, *, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
+def jaccard_groups(docs: DataFrame, *, key: str = "doc_id", text: str = "text", percent: int = PERCENT, words: int = WORDS) -> DataFrame:
     """(key, n_shingles, component_id) of every row: its set's size and the smallest key reachable by links.
 
     A text without words has an empty set, is linked with nothing and stands alone, as does
@@ -236,7 +239,7 @@ def jaccard_groups(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     Tokens are 64-bit hashes of shingles; every link is checked on the whole sets.
     """
     docs = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
-    rows = stored(with_sets(docs, frequent_tokens(docs), key="id", percent=percent), "sets")
+    rows = stored(with_sets(docs, frequent_tokens(docs, words=words), key="id", percent=percent, words=words), "sets")
     named = rows.filter(F.col("id").isNotNull() & (F.col("n") > 0))
     nodes = stored(named.groupBy("h", "n").agg(F.min("id").alias("node"), F.count("*").alias("rows")), "nodes")
 
@@ -260,7 +263,7 @@ def jaccard_groups(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     )
     pairs = votes.groupBy("a").agg(F.max(F.struct("count", -F.col("b"))).alias("best")).select("a", (-F.col("best.col2")).alias("b"))
     pairs = stored(pairs, "pairs")
-    sets = _whole_sets(docs, _nodes_of(pairs))
+    sets = _whole_sets(docs, _nodes_of(pairs), words)
     near = stored(compared(pairs, sets).filter(_linked(percent)), "pivots")
     pivots = near.select(F.col("a").alias("node"), F.col("b").alias("pivot"), _distance().alias("away"), F.col("na").alias("size"))
     groups = components(near.select("a", "b"))
@@ -278,7 +281,7 @@ def jaccard_groups(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     lone = open_.filter("NOT joint").select("token", "size", "node", "n", "pos")
     alone = _first_shared(lone, lone, ["token", "size"], held, percent).filter("a > b")
     met = stored(alone.unionByName(_joint_pairs(open_, percent)).distinct(), "met")
-    sets = sets.unionByName(_whole_sets(docs, _nodes_of(met).join(sets.select("node"), "node", "left_anti")))
+    sets = sets.unionByName(_whole_sets(docs, _nodes_of(met).join(sets.select("node"), "node", "left_anti"), words))
     answers = stored(compared(met, sets), "answers")
     # Members of a pivot that the distances leave open: |away(x) - away(z)| <= distance of x and z.
     unlike = answers.filter(~_linked(percent)).select("a", "na", F.col("b").alias("pivot"), _distance().alias("far"))
@@ -357,23 +360,23 @@ def _joint_pairs(entries: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def _whole_sets(docs: DataFrame, used: DataFrame) -> DataFrame:
+def _whole_sets(docs: DataFrame, used: DataFrame, words: int) -> DataFrame:
     """(node, tokens) of the documents that stand for the nodes in `used`, stored; if these are few, Spark sees so from their size and moves no text."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in in_slices(batches):
-            yield pa.RecordBatch.from_arrays([part.column(0), _lists([shingles(t) for t in part.column(1).to_pylist()])], ["node", "tokens"])
+            yield pa.RecordBatch.from_arrays([part.column(0), _lists([shingles(t, words) for t in part.column(1).to_pylist()])], ["node", "tokens"])
 
     wanted = docs.join(stored(used, "used").withColumnRenamed("node", "id"), "id", "left_semi")
     return stored(wanted.mapInArrow(run, "node bigint, tokens array<bigint>").filter(F.size("tokens") > 0), "tokens")
 
 
-def one_of_each(docs: DataFrame, *, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
+def one_of_each(docs: DataFrame, *, key: str = "doc_id", text: str = "text", percent: int = PERCENT, words: int = WORDS) -> DataFrame:
     """The rows of `docs`, all columns, without those that are linked to a smaller key; of rows that share a key one stays.
 
     Rows without a key stay.
     """
-    groups = stored(jaccard_groups(docs, key=key, text=text, percent=percent), "groups")
+    groups = stored(jaccard_groups(docs, key=key, text=text, percent=percent, words=words), "groups")
     gone = stored(groups.filter(F.col("component_id") != F.col(key)).select(key).distinct(), "gone")
     twice = stored(groups.filter(F.col(key).isNotNull()).groupBy(key).count().filter("count > 1").select(key), "twice")
     rest = docs.join(gone, key, "left_anti")
