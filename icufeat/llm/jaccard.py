@@ -216,6 +216,17 @@ def least_shared(n: Column, m: Column, percent: int) -> Column:
     return _up(percent * (n + m), 100 + percent) - _up(percent * F.greatest(n, m), 100) + 1
 
 
+def least_shared_within(n: Column, low: Column, high: Column, percent: int) -> Column:
+    """The least of least_shared for partners of all sizes from low to high.
+
+    Up to n it rises with the partner's size. Beyond, it falls by percent^2 / (100 (100 + percent))
+    a step, but for roundings of less than 1 either way; so only the last few sizes can be
+    below the value at high.
+    """
+    few = -(-100 * (100 + percent) // percent**2)
+    return F.least(*[least_shared(n, m, percent) for m in (low, *[F.greatest(low, high - k) for k in range(few)])])
+
+
 def _distance() -> Column:
     return 1 - F.col("common") / (F.col("na") + F.col("nb") - F.col("common"))
 
@@ -354,7 +365,7 @@ def _joint_pairs(entries: DataFrame, percent: int) -> DataFrame:
         .filter((~F.col("joint") | (F.col("c") > F.col("d"))) & (F.col("node") != F.col("b")) & (low <= high))
         .filter((F.col("pos") - F.col("to") <= F.col("n") - common) & (F.col("from") - F.col("pos") <= F.col("most") - common))
         .groupBy(F.col("node").alias("a"), "b")
-        .agg(F.count("*").alias("shared"), F.min(F.least(least_shared(F.col("n"), low, percent), least_shared(F.col("n"), high, percent))).alias("needed"))
+        .agg(F.count("*").alias("shared"), F.min(least_shared_within(F.col("n"), low, high, percent)).alias("needed"))
         .filter(F.col("shared") >= F.col("needed"))
         .select("a", "b")
     )
