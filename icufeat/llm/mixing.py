@@ -148,10 +148,11 @@ def fit_mix(cells: DataFrame, *, power: float = POWER, budget: float = BUDGET) -
 
 
 def with_probability(cells: DataFrame, mix: Mix) -> DataFrame:
-    """The columns of `cells` with __weight (wanted tokens for each there is) and __p, the probability to be drawn."""
+    """The columns of `cells` with __weight (wanted tokens for each there is) and __p, the probability to be drawn: 0 for a text without words."""
     joined = join_facts(cells, mix.sources.withColumnRenamed("factor", "__factor"), "__source", "n", mix.rows, F.col("__draw"))
     weight = F.coalesce("__factor", F.lit(0.0)) * _factor(F.col("__lang"), F.col("__topic"), mix.factors)
-    return joined.withColumn("__weight", weight).withColumn("__p", F.least(F.lit(1.0), F.col("__weight") * F.lit(mix.scale))).drop("__factor")
+    p = F.when(F.col("__tokens") > 0, F.least(F.lit(1.0), F.col("__weight") * F.lit(mix.scale))).otherwise(0.0)
+    return joined.withColumn("__weight", weight).withColumn("__p", p).drop("__factor")
 
 
 def draw(docs: DataFrame, *, power: float = POWER, budget: float = BUDGET, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -171,7 +172,6 @@ def mix_table(docs: DataFrame, *, power: float = POWER, budget: float = BUDGET,
     # The texts are read once: what the draw needs of them is stored.
     cells = stored(with_cells(docs, key=key, text=text).select(key, "__source", "__lang", "__topic", "__tokens", "__draw"), "mix-rows")
     out = with_probability(cells, fit_mix(cells, power=power, budget=budget))
-    p = F.when(F.col("__tokens") > 0, F.col("__p")).otherwise(0.0)
     return out.select(
         key,
         F.col("__source").alias("source"),
@@ -179,8 +179,8 @@ def mix_table(docs: DataFrame, *, power: float = POWER, budget: float = BUDGET,
         F.col("__topic").alias("topic"),
         F.col("__tokens").alias("tokens"),
         F.col("__weight").alias("weight"),
-        p.alias("probability"),
-        (F.col("__draw") < p).alias("selected"),
+        F.col("__p").alias("probability"),
+        (F.col("__draw") < F.col("__p")).alias("selected"),
     )
 
 
