@@ -16,7 +16,7 @@ from icufeat.operators.chained import fit_chained
 from icufeat.operators.folds import fold_balance, group_folds
 from icufeat.operators.neighbours import neighbour_fill
 from icufeat.operators.predict import blend, predict, route
-from icufeat.plans import pipeline, specs
+from icufeat.plans import pipeline
 from icufeat.session import cut_lineage
 from icufeat.sources.sinks import metrics_document
 from icufeat.sources.standin import clinical_catalog
@@ -63,7 +63,6 @@ def matrix(spark: SparkSession, folder: str) -> DataFrame:
 
 
 MODEL_FEATURES = ("n", "k", "hour", "top", "low")
-SMALL = {"trees": 5, "depth": 3}
 
 
 def _incomplete(spark: SparkSession, folder: str) -> DataFrame:
@@ -267,74 +266,71 @@ SELECT key, {r4('mixed')} AS mixed, {r4('''CASE WHEN mixed >= 0 AND mixed < 90 T
   WHEN mixed >= 140 AND mixed < 300 THEN 0.3 * mixed + 0.7 * lower ELSE mixed END''')} AS routed FROM b"""
 
 
-def _scores(kind: str, setting: dict):
+def _scores(kind: str):
     def run(spark: SparkSession, folder: str) -> DataFrame:
         m = matrix(spark, folder)
-        model = models.fit_regressor(m, MODEL_FEATURES, "sbp_mean", kind=kind, setting=setting)
+        model = models.fit_regressor(m, MODEL_FEATURES, "sbp_mean", kind=kind)
         return tidy(model.transform(m).select("key", "sbp_mean", "prediction"))
 
     return run
 
 
 def _folded(spark: SparkSession, folder: str) -> DataFrame:
-    return group_folds(matrix(spark, folder), "group", 3)
+    return group_folds(matrix(spark, folder), "group")
 
 
 def _grid(spark: SparkSession, folder: str) -> DataFrame:
-    settings = models.grid({"trees": (2, 4), "depth": (2,)})
+    settings = models.grid(models.BOOSTING_GRID)
     scores = models.cross_validate(_folded(spark, folder), MODEL_FEATURES, "sbp_mean", settings, parallelism=4)
-    return spark.createDataFrame([(s["trees"], s["depth"], v) for s, v in zip(settings, scores, strict=True)], "trees INT, depth INT, rmse DOUBLE")
+    rows = [(*s.values(), v) for s, v in zip(settings, scores, strict=True)]
+    return spark.createDataFrame(rows, "trees INT, rate DOUBLE, depth INT, min_rows INT, rows DOUBLE, columns STRING, rmse DOUBLE")
 
 
 def _random(spark: SparkSession, folder: str) -> DataFrame:
-    space = {**models.BOOSTING_RANGES, "trees": (2, 6), "depth": (2, 4)}
-    settings = models.random_settings(space, 2)
+    settings = models.random_settings(models.BOOSTING_RANGES, pipeline.Options().trials)
     scores = models.cross_validate(_folded(spark, folder), MODEL_FEATURES, "sbp_mean", settings, parallelism=4)
     return spark.createDataFrame([(i, s["rate"], v) for i, (s, v) in enumerate(zip(settings, scores, strict=True))], "trial INT, rate DOUBLE, rmse DOUBLE")
 
 
 def _bake(spark: SparkSession, folder: str) -> DataFrame:
-    candidates = {"linear": ("linear", {}), "forest": ("forest", {"trees": 5, "depth": 3}), "boosting": ("boosting", SMALL)}
+    candidates = {kind: (kind, {}) for kind in ("linear", "forest", "boosting")}
     return models.bake_off(_folded(spark, folder), MODEL_FEATURES, "sbp_mean", candidates, parallelism=4)[0]
 
 
 def _quantiles(spark: SparkSession, folder: str) -> DataFrame:
     m = matrix(spark, folder)
-    model, _, _ = models.fit_interval(m, MODEL_FEATURES, "sbp_mean", passes=30)
+    model, _, _ = models.fit_interval(m, MODEL_FEATURES, "sbp_mean")
     return tidy(model.transform(m).select("key", "sbp_mean", "lower", "upper"))
 
 
-BASES = {"base_boosting": ("boosting", SMALL), "base_forest": ("forest", {"trees": 5, "depth": 3}), "base_deep": ("boosting", {"trees": 3, "depth": 5})}
-
-
 def _stack(spark: SparkSession, folder: str) -> DataFrame:
     m = _folded(spark, folder)
-    model = models.fit_stack(m, MODEL_FEATURES, "sbp_mean", settings=BASES)
+    model = models.fit_stack(m, MODEL_FEATURES, "sbp_mean")
     return tidy(model.transform(m).select("key", "sbp_mean", "prediction"))
 
 
 def _strata(spark: SparkSession, folder: str) -> DataFrame:
     m = matrix(spark, folder)
-    base = models.fit_regressor(m, MODEL_FEATURES, "sbp_mean", setting=SMALL)
-    strata = models.fit_strata(m, MODEL_FEATURES, "sbp_mean", group="group", grids={s: {"trees": (3,)} for s in specs.STRATUM_LABELS})
+    base = models.fit_regressor(m, MODEL_FEATURES, "sbp_mean")
+    strata = models.fit_strata(m, MODEL_FEATURES, "sbp_mean", group="group")
     return tidy(predict(m, base, strata=strata).select("key", "sbp_mean", "y_pred"))
 
 
 def _importance(spark: SparkSession, folder: str) -> DataFrame:
     m = matrix(spark, folder)
-    a, b = (models.fit_regressor(m, MODEL_FEATURES, t, setting=SMALL) for t in ("sbp_mean", "dbp_mean"))
+    a, b = (models.fit_regressor(m, MODEL_FEATURES, t) for t in ("sbp_mean", "dbp_mean"))
     return report.top_features(models.importance_table(a, b, MODEL_FEATURES, spark))
 
 
 def _important(spark: SparkSession, folder: str) -> DataFrame:
     m = matrix(spark, folder)
-    model = models.fit_regressor(m, MODEL_FEATURES, "dbp_mean", setting=SMALL)
+    model = models.fit_regressor(m, MODEL_FEATURES, "dbp_mean")
     return tidy(m.select("key", *models.important_features(model, MODEL_FEATURES)))
 
 
 def _permutation(spark: SparkSession, folder: str) -> DataFrame:
     m = matrix(spark, folder)
-    model = models.fit_regressor(m, MODEL_FEATURES, "sbp_mean", setting=SMALL)
+    model = models.fit_regressor(m, MODEL_FEATURES, "sbp_mean")
     return models.permutation_importance(m, model, MODEL_FEATURES, "sbp_mean", "key")
 
 
@@ -372,22 +368,11 @@ def _document(spark: SparkSession, folder: str) -> DataFrame:
     return doc.select(F.to_json(F.struct("*")).alias("document"))
 
 
-# Intervals, stacks and strata have queries of their own; this one shows the whole path.
-FAST = pipeline.Options(
-    folds=2,
-    impute_rounds=5,
-    settings=[{"trees": 3, "depth": 2}],
-    with_stack=False,
-    with_strata=False,
-    with_interval=False,
-)
-
-
 def _external(spark: SparkSession, folder: str) -> DataFrame:
     """Train on the long-event database, score the wide-vitals one."""
     c = clinical_catalog(spark, folder)
-    run = pipeline.train(pipeline.long_features(c, FAST), FAST)
-    return tidy(pipeline.validate_externally(run, pipeline.wide_features(c, FAST))["summary"])
+    run = pipeline.train(pipeline.long_features(c))
+    return tidy(pipeline.validate_externally(run, pipeline.wide_features(c))["summary"])
 
 
 CHECKS: dict[str, Check] = {
@@ -482,8 +467,8 @@ CHECKS: dict[str, Check] = {
         lambda s, f: tidy(models.seeded_sample(gaps(s, f), "key")),
         f"WITH {GAPS} SELECT key, user_id, {', '.join(f'{r4(c)} AS {c}' for c in (*KINDS, 'n'))} FROM gaps ORDER BY md5('42:' || CAST(key AS VARCHAR)), key LIMIT 500",
     ),
-    "boosting_model": Check(_scores("boosting", SMALL)),
-    "forest_model": Check(_scores("forest", {"trees": 5, "depth": 3})),
+    "boosting_model": Check(_scores("boosting")),
+    "forest_model": Check(_scores("forest")),
     "grid_search": Check(_grid),
     "random_search": Check(_random),
     "model_bake_off": Check(_bake),
