@@ -138,11 +138,12 @@ def parse_records(data: bytes) -> Iterator[tuple[dict[str, str], memoryview]]:
             at += 2
 
 
-def _split_http(block: memoryview) -> tuple[dict[str, str], memoryview]:
-    raw = bytes(block[: 1 << 16])
+def _split_http(block: memoryview) -> tuple[dict[str, str], memoryview | None]:
+    """Headers and payload of an HTTP message; no payload where the blank line that ends the head is missing."""
+    raw = bytes(block)
     end = raw.find(b"\r\n\r\n")
     lines = raw[: max(0, end)].decode("utf-8", "replace").split(CRLF)[1:]
-    return {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines)}, block[end + 4 :] if end >= 0 else block[:0]
+    return {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines)}, block[end + 4 :] if end >= 0 else None
 
 
 def read_archives(spark: SparkSession, path: str, *, payload: bool = True) -> DataFrame:
@@ -169,7 +170,9 @@ def read_archives(spark: SparkSession, path: str, *, payload: bool = True) -> Da
                     if type_ in ("response", "revisit"):
                         http, stored_bytes = _split_http(block)
                         _, _, digest = heads.get("warc-payload-digest", "").partition(":")
-                        if type_ == "response":
+                        if type_ == "response" and stored_bytes is None:
+                            digest = digest or None
+                        elif type_ == "response":
                             size = len(stored_bytes)
                             real = hashlib.sha256(stored_bytes).hexdigest()
                             digest, intact = digest or real, digest in ("", real)
