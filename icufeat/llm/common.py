@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterable, Iterator, Mapping
+from collections.abc import Callable, Iterable, Iterator, Mapping
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -104,3 +104,12 @@ def in_slices(batches: Iterable[pa.RecordBatch], rows: int = 256) -> Iterator[pa
     for b in batches:
         for at in range(0, b.num_rows, rows):
             yield b.slice(at, rows)
+
+
+def and_then(batches: Iterable[pa.RecordBatch], clear: Callable[[], None]) -> Iterator[pa.RecordBatch]:
+    """The batches; at their end, or when the task is given up, `clear` runs and unused Arrow memory goes back."""
+    try:
+        yield from batches
+    finally:
+        clear()
+        pa.default_memory_pool().release_unused()

@@ -19,9 +19,7 @@ Set relations keep the lists from being paired off:
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from icufeat.llm.common import WORD, in_slices, join_facts, stored
+from icufeat.llm.common import in_slices, join_facts, stored
 
 #: Words of a shingle.
 WORDS = 4
@@ -39,49 +37,85 @@ PERCENT = 85
 #: Tokens that the order knows to be frequent, at most: what is broadcast is bounded by it.
 FREQUENT = 1 << 17
 #: Tokens that a task counts at a time, and from which count on it reports one.
-COUNTED, REPORTED = 4_000_000, 3
-#: Words and sets that a Python worker remembers.
-REMEMBERED = 400_000
+COUNTED, REPORTED = 2_000_000, 3
+#: Sets that a task remembers, and bytes of text that it hashes at a time (one text at least).
+REMEMBERED, HASHED = 100_000, 1 << 20
 
-_words = re.compile(WORD).findall
-_LOWER = {i: i + 32 for i in range(65, 91)}
+#: An odd base and its inverse modulo 2^64, and an odd mixing factor.
+_BASE = 0x9E3779B97F4A7C15
+_BASE_INVERSE = pow(_BASE, -1, 1 << 64)
+_MIX = np.uint64(0xD6E8FEB86659FD93)
 
+_IN_WORD = np.ones(256, bool)
+_IN_WORD[[0x20, *range(0x09, 0x0E)]] = False
+_LOWER = np.arange(256, dtype=np.uint64) + np.uint64(1)
+_LOWER[65:91] += np.uint64(32)
 
-@lru_cache(maxsize=1)
-def _known_words() -> dict[str, int]:
-    return {}
 
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, base, np.uint64)
+    out[:1] = 1
+    return np.multiply.accumulate(out)
 
-def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
-    """Sorted hashes of a text's different shingles, A-Z lower-cased; the whole sequence if it is shorter than one."""
-    given = _words(text or "")
-    if not given:
-        return np.empty(0, np.int64)
-    known = _known_words()
-    if len(known) > REMEMBERED:
-        known.clear()
-    try:
-        numbers = [known[w] for w in given]
-    except KeyError:
-        for w in given:
-            if w not in known:
-                known[w] = xxhash.xxh3_64_intdigest(w.translate(_LOWER).encode("utf-8", "surrogatepass")) - (1 << 63)
-        numbers = [known[w] for w in given]
-    a = np.array(numbers, np.int64).view(np.uint64)
-    with np.errstate(over="ignore"):
-        m = np.uint64(0xD6E8FEB86659FD93)
-        if len(a) < words:
-            h = np.array([len(a)], np.uint64)  # a short text's shingle never equals one of full length
-            for w in a:
-                h = h * m + w
-        else:
-            n = len(a) - words + 1
-            h = np.full(n, words, np.uint64)
+
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(32))) * _MIX
+    return h ^ (h >> np.uint64(29))
+
+
+def _word_hashes(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of every word of the bytes `data`, A-Z lower-cased, and the byte it starts at; no word spans one of `starts`."""
+    inside = _IN_WORD[data]
+    first = inside.copy()
+    first[1:] &= ~inside[:-1]
+    first[starts] |= inside[starts]
+    last = inside.copy()
+    last[:-1] &= ~inside[1:]
+    last[starts[1:] - 1] |= inside[starts[1:] - 1]
+    begin, end = np.flatnonzero(first), np.flatnonzero(last) + 1
+    # A word's polynomial is a difference of prefix sums, moved to place 0 by the inverse of the base.
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_LOWER[data] * _powers(_BASE, len(data)), out=sums[1:])
+    return _mixed((sums[end] - sums[begin]) * _powers(_BASE_INVERSE, len(data))[begin]), begin
+
+
+def shingle_sets(texts: pa.Array, words: int = WORDS) -> Iterator[np.ndarray]:
+    """For each text the sorted hashes of its different shingles, A-Z lower-cased; the whole sequence if it is shorter than one.
+
+    Words are hashed as bytes, several texts at a time.
+    """
+    texts = texts.fill_null("")
+    bounds = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+    raw = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
+    at = 0
+    while at < len(texts):
+        to = max(at + 1, int(np.searchsorted(bounds, bounds[at] + HASHED, "right")) - 1)
+        to = min(to, len(texts))
+        data, edges = raw[bounds[at] : bounds[to]], bounds[at : to + 1] - bounds[at]
+        with np.errstate(over="ignore"):
+            filled = edges[:-1][edges[1:] > edges[:-1]]
+            a, begin = _word_hashes(data, filled) if len(data) else (np.empty(0, np.uint64), np.empty(0, np.int64))
+            full = np.full(max(0, len(a) - words + 1), words, np.uint64)
             for k in range(words):
-                h = h * m + a[k : n + k]
-        h = (h ^ (h >> np.uint64(32))) * m
-        h ^= h >> np.uint64(29)
-    return np.unique(h.view(np.int64))
+                full = full * _MIX + a[k : len(full) + k]
+            full = _mixed(full).view(np.int64)
+            cuts = np.searchsorted(begin, edges)
+            for low, high in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+                if high - low >= words:
+                    yield np.unique(full[low : high - words + 1])
+                elif high > low:
+                    h = np.array([high - low], np.uint64)  # a short text's shingle never equals one of full length
+                    for w in a[low:high]:
+                        h = h * _MIX + w
+                    yield _mixed(h).view(np.int64)
+                else:
+                    yield np.empty(0, np.int64)
+        at = to
+
+
+def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
+    """The set of one text."""
+    return next(shingle_sets(pa.array([text], pa.string()), words))
 
 
 def prefix_size(n: int, percent: int = PERCENT) -> int:
@@ -96,23 +130,29 @@ def frequent_tokens(docs: DataFrame, *, text: str = "text", words: int = WORDS)
     """
 
     def count(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
+        held = np.empty(COUNTED, np.int64)
         size = 0
 
-        def report() -> Iterator[pa.RecordBatch]:
-            tokens, n = np.unique(np.concatenate(held), return_counts=True)
+        def report() -> pa.RecordBatch:
+            tokens = held[:size]
+            tokens.sort()
+            first = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
+            n = np.diff(first, append=size)
             often = n >= REPORTED
-            yield pa.RecordBatch.from_arrays([pa.array(tokens[often]), pa.array(n[often].astype(np.int64))], ["token", "n"])
+            return pa.RecordBatch.from_arrays([pa.array(tokens[first[often]]), pa.array(n[often].astype(np.int64))], ["token", "n"])
 
         for part in in_slices(batches):
-            for t in part.column(0).to_pylist():
-                held.append(shingles(t, words))
-                size += len(held[-1])
-            if size >= COUNTED:
-                yield from report()
-                held, size = [], 0
-        if held:
-            yield from report()
+            for tokens in shingle_sets(part.column(0), words):
+                while len(tokens):
+                    taken = tokens[: COUNTED - size]
+                    held[size : size + len(taken)] = taken
+                    size += len(taken)
+                    tokens = tokens[len(taken) :]
+                    if size == COUNTED:
+                        yield report()
+                        size = 0
+        if size:
+            yield report()
 
     top = docs.select(text).mapInArrow(count, "token bigint, n bigint").groupBy("token").agg(F.sum("n").alias("n"))
     rows = top.orderBy(F.desc("n"), "token").limit(FREQUENT).toArrow()
@@ -148,19 +188,18 @@ def with_sets(
     ])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[tuple[int, int]] = set()
+        seen: set[int] = set()
         for part in in_slices(batches):
             sizes, hashes, prefixes = [], [], []
-            for k, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                s = shingles(t, words)
+            for k, s in zip(part.column(0).to_pylist(), shingle_sets(part.column(1), words), strict=True):
                 h = xxhash.xxh3_64_intdigest(s.tobytes()) - (1 << 63)
                 sizes.append(len(s))
                 hashes.append(h)
-                fresh = k is not None and len(s) > 0 and (h, len(s)) not in seen
+                fresh = k is not None and len(s) > 0 and h not in seen
                 if fresh:
                     if len(seen) >= REMEMBERED:
                         seen.clear()
-                    seen.add((h, len(s)))
+                    seen.add(h)
                 prefixes.append(prefix_of(s, *frequent, percent) if fresh else None)
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes, pa.int64()), pa.array(hashes, pa.int64()), _lists(prefixes)], schema.names)
 
@@ -376,7 +415,7 @@ def _whole_sets(docs: DataFrame, used: DataFrame, words: int) -> DataFrame:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in in_slices(batches):
-            yield pa.RecordBatch.from_arrays([part.column(0), _lists([shingles(t, words) for t in part.column(1).to_pylist()])], ["node", "tokens"])
+            yield pa.RecordBatch.from_arrays([part.column(0), _lists(list(shingle_sets(part.column(1), words)))], ["node", "tokens"])
 
     wanted = docs.join(stored(used, "used").withColumnRenamed("node", "id"), "id", "left_semi")
     return stored(wanted.mapInArrow(run, "node bigint, tokens array<bigint>").filter(F.size("tokens") > 0), "tokens")

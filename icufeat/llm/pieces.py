@@ -24,14 +24,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from icufeat.llm.common import in_slices
+from icufeat.llm.common import and_then, in_slices
 
 SPACE = "▁"
 LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 
-#: Segments (a word with the spaces before it) whose ids a Python worker remembers, and the longest remembered.
-REMEMBERED, REMEMBERED_CHARS = 400_000, 40
+#: Segments (a word with the spaces before it) whose ids a task remembers, pairs of pieces likewise, and the longest remembered.
+REMEMBERED, REMEMBERED_CHARS = 200_000, 40
 
 
 class PieceCodec:
@@ -285,6 +285,12 @@ class PieceCodec:
         return text[1:] if first in self.opening else text
 
 
+    def forget(self) -> None:
+        """Gives back what a task has remembered; Python workers outlive their tasks."""
+        self.seen.clear()
+        self.fits.clear()
+
+
 def _utf8(raw: bytes) -> str:
     out, at = [], 0
     while at < len(raw):
@@ -326,7 +332,7 @@ def encode_texts(docs: DataFrame, model_file: str, *, key: str = "doc_id", text:
             texts = pa.array([own.decode(i) for i in ids], pa.string())
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.list_(pa.int32())), texts], [key, "token_ids", "decoded"])
 
-    return docs.select(key, text).mapInArrow(run, schema)
+    return docs.select(key, text).mapInArrow(lambda batches: and_then(run(batches), codec(model_file).forget), schema)
 
 
 def token_digests(docs: DataFrame, model_file: str, *, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -353,5 +359,5 @@ def token_digests(docs: DataFrame, model_file: str, *, key: str = "doc_id", text
                 schema.names,
             )
 
-    return docs.select(F.col(key), F.col(text)).mapInArrow(run, schema)
+    return docs.select(F.col(key), F.col(text)).mapInArrow(lambda batches: and_then(run(batches), codec(model_file).forget), schema)
 

@@ -8,8 +8,8 @@ import corpus_pipeline
 from icufeat.llm import languages, mixing, rules
 from icufeat.llm.queries import tokenizer_file
 from tests.llm.cases import no_documents, odd_documents
-from tests.llm.test_jaccard import brute_groups
 from tests.llm.test_mixing import brute_mix
+from tests.llm.test_near_duplicates import brute
 from tests.llm.test_text_models import brute_counts
 
 DATA = "/root/testdata/sf0.01"
@@ -44,8 +44,8 @@ def test_every_stage(spark):
             keep.add(i)
     assert set(good) == keep
 
-    groups = brute_groups([(i, r.text) for i, r in good.items()])
-    assert set(single) == {first for _, first in groups.values()}
+    firsts = brute([(i, r.text) for i, r in good.items()], corpus_pipeline.NEAR_WORDS, corpus_pipeline.NEAR_PERCENT)
+    assert set(single) == set(firsts.values())
 
     cells = {r.doc_id: r for r in mixing.with_cells(frames[3]).collect()}
     cell = lambda r: (r["__source"], r["__lang"], r["__topic"])
