@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from icufeat.llm import chat, jaccard, languages, mixing, quality, rules, topk, urls, warc
+from icufeat.llm import chat, jaccard, languages, mixing, negatives, quality, rules, topk, urls, warc
 from icufeat.llm.common import new_folder, read, remainder, stored
 from icufeat.llm.pieces import token_digests
 
@@ -146,3 +146,33 @@ def op10_jaccard(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES["op10_jaccard"] = op10_jaccard
+
+
+def op11_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Where vec_id is divisible by 7 the label is the next one of ten."""
+    given = read(spark, folder, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, F.pmod(F.col("label") + 1, F.lit(10))).otherwise(F.col("label"))
+    return negatives.mine(given.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+QUERIES["op11_negatives"] = op11_negatives
+
+SQL["op11_negatives"] = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda e: CAST(floor(256 * CAST(e AS DOUBLE)) AS DOUBLE)) AS x
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id AS other_id, a.label = c.label AS same, CAST(list_inner_product(a.x, c.x) AS BIGINT) AS score
+  FROM v a JOIN v c ON a.vec_id % 100 = 0 AND c.vec_id <> a.vec_id
+), p AS (
+  SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+)
+SELECT p.anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other_id) AS INTEGER) AS rank,
+       other_id AS negative_id, positive_score, score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""

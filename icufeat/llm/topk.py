@@ -24,12 +24,12 @@ STOPS = (0.5, 0.75, 0.9, 1.0)
 LEFT = 16
 
 
-def usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
-    """(id, x): components as floor(256 * x); without rows whose id or vector is null or whose vector holds null, NaN or an infinity."""
+def usable(vectors: DataFrame, key: str, vector: str, *more: str) -> DataFrame:
+    """(id, x, …): components as floor(256 * x); without rows whose id or vector is null or whose vector holds null, NaN or an infinity."""
     v = F.col(vector)
     odd = F.exists(v, lambda e: e.isNull() | F.isnan(e) | (F.abs(e) == float("inf")))
     good = F.col(key).isNotNull() & v.isNotNull() & ~F.coalesce(odd, F.lit(False))
-    return vectors.filter(good).select(F.col(key).alias("id"), F.transform(v, lambda e: F.floor(e.cast("double") * 256)).alias("x"))
+    return vectors.filter(good).select(F.col(key).alias("id"), F.transform(v, lambda e: F.floor(e.cast("double") * 256)).alias("x"), *more)
 
 
 def search_block(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
