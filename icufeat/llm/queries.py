@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from icufeat.llm import chat, jaccard, languages, mixing, negatives, quality, rules, topk, urls, warc
+from icufeat.llm import alignment, chat, jaccard, languages, mixing, negatives, quality, rules, topk, urls, warc
 from icufeat.llm.common import new_folder, read, remainder, stored
 from icufeat.llm.pieces import token_digests
 
@@ -176,3 +176,10 @@ SELECT p.anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_i
 FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
 QUALIFY rank <= 10
 """
+
+
+def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.align_tokens(read(spark, folder, "documents"), tokenizer_file("byte_bpe_50k.json"), tokenizer_file())
+
+
+QUERIES["op13_alignment"] = op13_alignment
