@@ -42,8 +42,8 @@ COUNTED, REPORTED = 2_000_000, 3
 REMEMBERED, HASHED = 100_000, 1 << 20
 
 #: An odd base and its inverse modulo 2^64, and an odd mixing factor.
-_BASE = 0x9E3779B97F4A7C15
-_BASE_INVERSE = pow(_BASE, -1, 1 << 64)
+BASE = 0x9E3779B97F4A7C15
+BASE_INVERSE = pow(BASE, -1, 1 << 64)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 
 _IN_WORD = np.ones(256, bool)
@@ -52,13 +52,13 @@ _LOWER = np.arange(256, dtype=np.uint64) + np.uint64(1)
 _LOWER[65:91] += np.uint64(32)
 
 
-def _powers(base: int, n: int) -> np.ndarray:
+def powers(base: int, n: int) -> np.ndarray:
     out = np.full(n, base, np.uint64)
     out[:1] = 1
     return np.multiply.accumulate(out)
 
 
-def _mixed(h: np.ndarray) -> np.ndarray:
+def mixed(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(32))) * _MIX
     return h ^ (h >> np.uint64(29))
 
@@ -75,8 +75,8 @@ def _word_hashes(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.n
     begin, end = np.flatnonzero(first), np.flatnonzero(last) + 1
     # A word's polynomial is a difference of prefix sums, moved to place 0 by the inverse of the base.
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_LOWER[data] * _powers(_BASE, len(data)), out=sums[1:])
-    return _mixed((sums[end] - sums[begin]) * _powers(_BASE_INVERSE, len(data))[begin]), begin
+    np.cumsum(_LOWER[data] * powers(BASE, len(data)), out=sums[1:])
+    return mixed((sums[end] - sums[begin]) * powers(BASE_INVERSE, len(data))[begin]), begin
 
 
 def shingle_sets(texts: pa.Array, words: int = WORDS) -> Iterator[np.ndarray]:
@@ -98,7 +98,7 @@ def shingle_sets(texts: pa.Array, words: int = WORDS) -> Iterator[np.ndarray]:
             full = np.full(max(0, len(a) - words + 1), words, np.uint64)
             for k in range(words):
                 full = full * _MIX + a[k : len(full) + k]
-            full = _mixed(full).view(np.int64)
+            full = mixed(full).view(np.int64)
             cuts = np.searchsorted(begin, edges)
             for low, high in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
                 if high - low >= words:
@@ -107,7 +107,7 @@ def shingle_sets(texts: pa.Array, words: int = WORDS) -> Iterator[np.ndarray]:
                     h = np.array([high - low], np.uint64)  # a short text's shingle never equals one of full length
                     for w in a[low:high]:
                         h = h * _MIX + w
-                    yield _mixed(h).view(np.int64)
+                    yield mixed(h).view(np.int64)
                 else:
                     yield np.empty(0, np.int64)
         at = to

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from icufeat.llm import alignment, chat, jaccard, languages, mixing, negatives, quality, rules, topk, urls, warc
+from icufeat.llm import alignment, chat, jaccard, languages, mixing, negatives, quality, rules, suffixes, topk, urls, warc
 from icufeat.llm.common import new_folder, read, remainder, stored
 from icufeat.llm.pieces import token_digests
 
@@ -183,3 +183,11 @@ def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES["op13_alignment"] = op13_alignment
+
+
+def op12_suffixes(spark: SparkSession, folder: str) -> DataFrame:
+    out = suffixes.remove_repeats(read(spark, folder, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+QUERIES["op12_suffixes"] = op12_suffixes
