@@ -22,7 +22,7 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,8 +33,10 @@ from icufeat.llm.jaccard import BASE, BASE_INVERSE, mixed, powers
 LENGTH, GRAM = 100, 24
 #: Bytes that multikey quicksort looks at before blind tries take over.
 SHALLOW = 40
-#: Contexts of one gram that one task orders.
-CONTEXTS = 4_096
+#: One task orders the contexts of a gram if they are this many at most, and this part of all contexts.
+CONTEXTS, PART = 32_768, 100
+#: Strings of a gram with more contexts are compared by cores of so many neighbours first.
+STEP = 20
 #: Anchors that a task compares before they are sent, and bytes of text it looks at together.
 ANCHORS, BYTES = 500_000, 1 << 19
 
@@ -337,28 +339,52 @@ def _sorted_spans(contexts: DataFrame, length: int, shallow: int) -> DataFrame:
     return ordered.mapInArrow(run, "doc bigint, h bigint, from bigint, to bigint")
 
 
+def _told(rows: DataFrame, key: str, first: Column) -> DataFrame:
+    """`rows` whose key comes more than once, with the least `first` of the key."""
+    rows = stored(rows, key)
+    facts = stored(rows.groupBy(key).agg(F.min(first).alias("first"), F.count("*").alias("rows")).filter("rows > 1"), f"{key}-facts")
+    return join_facts(rows, facts, key, "rows", rows.count(), F.xxhash64("doc", "h", "block")).filter(F.col("first").isNotNull())
+
+
 def _single_strings(contexts: DataFrame, length: int) -> DataFrame:
-    """(doc, h, from, to) by every string of the contexts: for grams with more contexts than one task should order."""
+    """(doc, h, from, to) by every string of the contexts: for grams with more contexts than one task should order.
 
-    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        digest = hashlib.blake2b
+    Strings that start within STEP bytes of each other have a core in common. Where the core
+    does not come twice, none of them does, so only the others are taken one by one.
+    """
+
+    def cores(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in in_slices(batches):
             out: list[tuple] = []
             for doc, h, place, before, after in zip(*(part.column(i).to_pylist() for i in (2, 3, 4, 5, 6)), strict=True):
                 whole, n, at = before[::-1] + after, len(before), place >> 14
-                for l in range(max(0, length - len(after)), n + 1):
-                    string = whole[n - l : n - l + length]
-                    out.append((digest(string, digest_size=16).digest(), doc, h, at - l))
+                low = max(0, length - len(after))
+                for block in range(low // STEP, n // STEP + 1):
+                    first, last = block * STEP, block * STEP + STEP - 1
+                    core = hashlib.blake2b(whole[n - first : n - last + length], digest_size=15, person=b"%d" % block).hexdigest()
+                    head = min(n, last)
+                    out.append((core, doc, h, block, at - head, whole[n - head : n - max(low, first) + length]))
+            if out:
+                kinds = (pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.binary())
+                arrays = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays(arrays, ["core", "doc", "h", "block", "from", "bytes"])
+
+    def strings(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in in_slices(batches):
+            out: list[tuple] = []
+            for doc, h, block, at, whole in zip(*(part.column(i).to_pylist() for i in range(5)), strict=True):
+                for i in range(len(whole) - length + 1):
+                    out.append((hashlib.blake2b(whole[i : i + length], digest_size=16).hexdigest(), doc, h, block, at + i))
             if out:
-                strings, *numbers = zip(*out, strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(strings, pa.binary()), *[pa.array(c, pa.int64()) for c in numbers]], ["string", "doc", "h", "from"])
+                kinds = (pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int64())
+                arrays = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)]
+                yield pa.RecordBatch.from_arrays(arrays, ["string", "doc", "h", "block", "from"])
 
-    strings = contexts.mapInArrow(run, "string binary, doc bigint, h bigint, from bigint").withColumn("string", F.hex("string"))
-    strings = stored(strings, "strings")
-    firsts = stored(strings.groupBy("string").agg(F.min(F.struct("doc", "from")).alias("first"), F.count("*").alias("rows")).filter("rows > 1"), "firsts")
-    total = strings.count()
-    told = join_facts(strings, firsts, "string", "rows", total, F.xxhash64("doc", "from"))
-    return told.filter(F.struct("doc", "from") > F.col("first")).select("doc", "h", "from", (F.col("from") + length).alias("to"))
+    start = F.struct("doc", "from")
+    parts = contexts.mapInArrow(cores, "core string, doc bigint, h bigint, block int, from bigint, bytes binary")
+    again = _told(parts, "core", start).select("doc", "h", "block", "from", "bytes")
+    singles = _told(again.mapInArrow(strings, "string string, doc bigint, h bigint, block int, from bigint"), "string", start)
+    return singles.filter(start > F.col("first")).select("doc", "h", "from", (F.col("from") + length).alias("to"))
 
 
 def remove_repeats(
@@ -397,11 +423,13 @@ def remove_repeats(
             F.when(~settled & ~F.col("later"), F.col("place")).alias("place"),
             F.when(settled, F.col("place")).when(F.col("later"), low).alias("from"),
             F.when(settled, F.col("to")).when(F.col("later"), high).alias("to"),
-            (F.col("different") > contexts).alias("many"),
+            "different",
         ),
         "anchors",
     )
     open_ = known.filter(F.col("gram").isNotNull())
+    limit = min(contexts, open_.count() // PART + 1)
+    open_ = open_.withColumn("many", F.col("different") > limit)
     packed = _packed(given)
     around = stored(_contexts(open_, packed), "contexts")
     spans = (
