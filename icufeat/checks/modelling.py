@@ -281,20 +281,20 @@ def _folded(spark: SparkSession, folder: str) -> DataFrame:
 
 def _grid(spark: SparkSession, folder: str) -> DataFrame:
     settings = models.grid(models.BOOSTING_GRID)
-    scores = models.cross_validate(_folded(spark, folder), MODEL_FEATURES, "sbp_mean", settings, parallelism=4)
+    scores = models.cross_validate(_folded(spark, folder), MODEL_FEATURES, "sbp_mean", settings)
     rows = [(*s.values(), v) for s, v in zip(settings, scores, strict=True)]
     return spark.createDataFrame(rows, "trees INT, rate DOUBLE, depth INT, min_rows INT, rows DOUBLE, columns STRING, rmse DOUBLE")
 
 
 def _random(spark: SparkSession, folder: str) -> DataFrame:
     settings = models.random_settings(models.BOOSTING_RANGES, pipeline.Options().trials)
-    scores = models.cross_validate(_folded(spark, folder), MODEL_FEATURES, "sbp_mean", settings, parallelism=4)
+    scores = models.cross_validate(_folded(spark, folder), MODEL_FEATURES, "sbp_mean", settings)
     return spark.createDataFrame([(i, s["rate"], v) for i, (s, v) in enumerate(zip(settings, scores, strict=True))], "trial INT, rate DOUBLE, rmse DOUBLE")
 
 
 def _bake(spark: SparkSession, folder: str) -> DataFrame:
     candidates = {kind: (kind, {}) for kind in ("linear", "forest", "boosting")}
-    return models.bake_off(_folded(spark, folder), MODEL_FEATURES, "sbp_mean", candidates, parallelism=4)[0]
+    return models.bake_off(_folded(spark, folder), MODEL_FEATURES, "sbp_mean", candidates)[0]
 
 
 def _quantiles(spark: SparkSession, folder: str) -> DataFrame:
@@ -305,7 +305,7 @@ def _quantiles(spark: SparkSession, folder: str) -> DataFrame:
 
 def _stack(spark: SparkSession, folder: str) -> DataFrame:
     m = _folded(spark, folder)
-    model = models.fit_stack(m, MODEL_FEATURES, "sbp_mean")
+    model = models.search_stack(m, MODEL_FEATURES, "sbp_mean")
     return tidy(model.transform(m).select("key", "sbp_mean", "prediction"))
 
 
