@@ -92,54 +92,31 @@ def unpivoted(df: DataFrame, columns: Sequence[str], as_type: str = "double") ->
     return df.select(F.explode(F.array(*pairs)).alias("__p")).select("__p.column", "__p.value")
 
 
-def value_slices(df: DataFrame, groups: Sequence[str], value: str, *, step: int = 32) -> DataFrame:
-    """(groups…, __cuts, __coarse): up to step² - 1 sketched quantiles and every step-th of them.
+def ordered_parts(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """`df` stored in range partitions by `order`, with the number of each row's partition as `__part`.
 
-    The cuts are stored, because two computations of a sketch may differ while all
-    users of the slices must agree.
+    Ties in one column are parted by the next, so a value that most rows have takes many partitions.
     """
-    count = step * step
-    probs = F.array(*[F.lit(i / count) for i in range(1, count)])
-    cuts = df.where(F.col(value).isNotNull()).groupBy(*groups).agg(
-        F.percentile_approx(value, probs, F.lit(10_000)).alias("__cuts")
-    )
-    places = F.array(*[F.lit(i) for i in range(step - 1, count - step, step)])
-    return cut_lineage(cuts.withColumn("__coarse", F.transform(places, lambda i: F.get("__cuts", i))))
+    return cut_lineage(df.repartitionByRange(*order).withColumn("__part", F.spark_partition_id()))
 
 
-def slice_of(value: str, *, step: int = 32) -> Column:
-    """Number of cuts below the value, found by a coarse and a fine scan."""
-    coarse = F.size(F.filter("__coarse", lambda cut: cut < F.col(value)))
-    fine = F.size(F.filter(F.slice("__cuts", coarse * step + 1, F.lit(step)), lambda cut: cut < F.col(value)))
-    return coarse * step + fine
+def ranks_of(tallied: DataFrame, groups: Sequence[str], value: str, n: str) -> DataFrame:
+    """Adds `n_below` and `average_rank` to rows of distinct values per group that stand for `n` rows each."""
+    placed = ordered_parts(tallied.withColumn("__all", F.lit(0)), [*groups, value])
+    summed = running_sums(placed, [*groups, "__all"], "__part", [F.col(value)], {"__upto": F.col(n)})
+    below = F.col("__upto") - F.col(n)
+    ranks = {"n_below": below, "average_rank": below + (F.col(n) + 1) / F.lit(2.0)}
+    return summed.withColumns(ranks).drop("__all", "__part", "__upto")
 
 
 def exact_ranks(df: DataFrame, groups: Sequence[str], value: str) -> DataFrame:
     """(groups…, value, n_tied, n_below, average_rank) per distinct value.
 
-    Equal values collapse before the shuffle, and each group is cut into slices at
-    its own quantiles, so a hot group is spread over many tasks.
+    Equal values collapse before the shuffle, and the distinct ones lie in ranges, so a
+    hot group is spread over many tasks.
     """
-    df = df.withColumn("__all", F.lit(0))
-    cuts = value_slices(df, [*groups, "__all"], value)
-    tallied = (
-        df.where(F.col(value).isNotNull())
-        .groupBy(*groups, "__all", value)
-        .agg(F.count(F.lit(1)).alias("n_tied"))
-    )
-    joined = join_small(tallied, cuts, [*groups, "__all"])
-    sliced = joined.withColumn("__slice", slice_of(value)).drop("__cuts", "__coarse")
-    summed = running_sums(
-        sliced, [*groups, "__all"], "__slice", [F.col(value)], {"__upto": F.col("n_tied")}
-    )
-    below = F.col("__upto") - F.col("n_tied")
-    return summed.select(
-        *groups,
-        value,
-        "n_tied",
-        below.alias("n_below"),
-        (below + (F.col("n_tied") + 1) / F.lit(2.0)).alias("average_rank"),
-    )
+    tallied = df.where(F.col(value).isNotNull()).groupBy(*groups, value).agg(F.count(F.lit(1)).alias("n_tied"))
+    return ranks_of(tallied, groups, value, "n_tied")
 
 
 def modes(df: DataFrame, groups: Sequence[str], value: str) -> DataFrame:

@@ -11,12 +11,12 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from icufeat.functions.order_stats import exact_quantiles, exact_ranks, slice_of, value_slices
+from icufeat.functions.order_stats import exact_quantiles, ordered_parts, ranks_of
 from icufeat.functions.prefix import running_sums
 from icufeat.functions.scalars import correlation, percent, right_closed_bins
 from icufeat.functions.student import p_value
 from icufeat.plans import specs
-from icufeat.session import join_small, salted_join
+from icufeat.session import cut_lineage, join_small
 
 WITHIN = (5, 10, 15)
 
@@ -39,42 +39,81 @@ def device_grade(w5: str = "within_5", w10: str = "within_10", w15: str = "withi
     return grade.otherwise(F.lit("D"))
 
 
+def fit_columns() -> list[Column]:
+    e = F.col("error")
+    return [
+        F.count(F.lit(1)).alias("n"),
+        F.avg(e * e).alias("mse"),
+        F.sqrt(F.avg(e * e)).alias("rmse"),
+        F.avg("abs_error").alias("mae"),
+        (1 - F.try_divide(F.sum(e * e), F.count(e) * F.var_pop("y_true"))).alias("r2"),
+        correlation("y_true", "y_pred").alias("pearson_r"),
+    ]
+
+
 def fold_metrics(preds: DataFrame, by: Sequence[str] = ("target", "fold")) -> DataFrame:
     """Squared, absolute and explained error and the linear correlation per group."""
-    e = F.col("error")
-    return (
-        with_errors(preds)
-        .groupBy(*by)
-        .agg(
-            F.count(F.lit(1)).alias("n"),
-            F.avg(e * e).alias("mse"),
-            F.sqrt(F.avg(e * e)).alias("rmse"),
-            F.avg("abs_error").alias("mae"),
-            (1 - F.try_divide(F.sum(e * e), F.count(e) * F.var_pop("y_true"))).alias("r2"),
-            correlation("y_true", "y_pred").alias("pearson_r"),
-        )
+    return with_errors(preds).groupBy(*by).agg(*fit_columns())
+
+
+def _ranked_cells(preds: DataFrame, by: Sequence[str], axes: Mapping[str, Column]) -> tuple[DataFrame, DataFrame]:
+    """Distinct (by…, x, y, n), and the ranks (by…, axis, value, n, n_below, average_rank) along each axis, both stored.
+
+    All axes are ranked in one pass over the distinct values.
+    """
+    pairs = preds.where(F.col("y_true").isNotNull() & F.col("y_pred").isNotNull())
+    cells = cut_lineage(pairs.groupBy(*by, F.col("y_true").cast("double").alias("x"), F.col("y_pred").cast("double").alias("y")).agg(F.count(F.lit(1)).alias("n")))
+    values = F.explode(F.array(*[F.struct(F.lit(a).alias("axis"), v.alias("value")) for a, v in axes.items()]))
+    each = cells.select(*by, "n", values.alias("v")).groupBy(*by, "v.axis", "v.value").agg(F.sum("n").alias("n"))
+    return cells, cut_lineage(ranks_of(each, [*by, "axis"], "value", "n"))
+
+
+def _rank_correlation(cells: DataFrame, ranks: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Linear correlation of the average ranks, every cell counted as often as it occurs."""
+    found = cells
+    for axis in ("x", "y"):
+        own = ranks.where(F.col("axis") == axis).select(*by, F.col("value").alias(axis), F.col("average_rank").alias(f"__{axis}"))
+        found = join_small(found, own, [*by, axis])
+    n, x, y = (F.col(c) for c in ("n", "__x", "__y"))
+    sums = found.groupBy(*by).agg(
+        F.sum(n).alias("n"), *[F.sum(n * e).alias(name) for name, e in {"x": x, "y": y, "xx": x * x, "yy": y * y, "xy": x * y}.items()]
     )
+    cov, var_x, var_y = (F.col(p) / F.col("n") - F.col(a) * F.col(b) / (F.col("n") * F.col("n")) for p, a, b in (("xy", "x", "y"), ("xx", "x", "x"), ("yy", "y", "y")))
+    return sums.select(*by, F.try_divide(cov, F.sqrt(var_x * var_y)).alias("spearman_r"))
 
 
 def rank_correlation(preds: DataFrame, by: Sequence[str] = ("target",), x: str = "y_true", y: str = "y_pred") -> DataFrame:
     """Spearman's correlation per group, ties sharing their average rank."""
-    pairs = preds.select(*by, x, y).where(F.col(x).isNotNull() & F.col(y).isNotNull())
-    ranked = pairs
-    for c in (x, y):
-        ranks = exact_ranks(pairs, list(by), c).select(*by, c, F.col("average_rank").alias(f"__rank_{c}"))
-        ranked = salted_join(ranked, ranks, [*by, c], salts=8)
-    return ranked.groupBy(*by).agg(correlation(f"__rank_{x}", f"__rank_{y}").alias("spearman_r"))
+    pairs = preds.select(*by, F.col(x).alias("y_true"), F.col(y).alias("y_pred"))
+    return _rank_correlation(*_ranked_cells(pairs, by, {"x": F.col("x"), "y": F.col("y")}), by)
+
+
+def _quantiles_by_rank(ranks: DataFrame, by: Sequence[str], probs: Mapping[str, float]) -> DataFrame:
+    """One row per group with the linearly interpolated quantile for each `name: p`, from ranked distinct values."""
+    sizes = ranks.groupBy(*by).agg(F.sum("n").alias("__n"))
+    placed = join_small(ranks, sizes, by)
+
+    def at(k: Column) -> Column:
+        return F.max(F.when((F.col("n_below") <= k) & (k < F.col("n_below") + F.col("n")), F.col("value")))
+
+    parts = []
+    for name, p in probs.items():
+        place = (F.col("__n") - 1) * F.lit(float(p))
+        share = F.max(place - F.floor(place))
+        low, high = at(F.floor(place)), at(F.ceil(place))
+        parts.append((low + share * (high - low)).alias(name))
+    return placed.groupBy(*by).agg(*parts)
 
 
 def error_metrics(preds: DataFrame, by: Sequence[str] = ("target",)) -> DataFrame:
     """One row per group: fit, clinical thresholds, error quantiles and interval quality."""
     by = list(by)
-    errors = with_errors(preds)
-    base = fold_metrics(preds, by)
-    clinical = errors.groupBy(*by).agg(*within_columns(), *interval_columns())
-    spread = exact_quantiles(errors, by, "abs_error", {"median_error": 0.5, "p90_error": 0.9, "p95_error": 0.95})
-    out = base
-    for part in (rank_correlation(preds, by), clinical, spread):
+    out = with_errors(preds).groupBy(*by).agg(*fit_columns(), *within_columns(), *interval_columns())
+    axes = {"x": F.col("x"), "y": F.col("y"), "error": F.abs(F.col("x") - F.col("y"))}
+    cells, ranks = _ranked_cells(preds, by, axes)
+    errors = ranks.where(F.col("axis") == "error")
+    spread = _quantiles_by_rank(errors, by, {"median_error": 0.5, "p90_error": 0.9, "p95_error": 0.95})
+    for part in (_rank_correlation(cells, ranks, by), spread):
         out = _beside(out, part, by)
     return out
 
@@ -261,9 +300,6 @@ def width_trend(preds: DataFrame, by: Sequence[str] = ("target",)) -> DataFrame:
 def every_nth(preds: DataFrame, n: int = 10) -> DataFrame:
     """Every n-th row of each target by true value, beginning with the first; ties by key."""
     rows = preds.where("y_true IS NOT NULL")
-    cuts = value_slices(rows, ["target"], "y_true")
-    sliced = join_small(rows, cuts, ["target"]).withColumn("__slice", slice_of("y_true")).drop("__cuts", "__coarse")
-    numbered = running_sums(
-        sliced, ["target"], "__slice", [F.col("y_true"), F.col("key")], {"__row": F.lit(1)}
-    )
-    return numbered.where((F.col("__row") - 1) % n == 0).drop("__row", "__slice")
+    placed = ordered_parts(rows, ["target", "y_true", "key"])
+    numbered = running_sums(placed, ["target"], "__part", [F.col("y_true"), F.col("key")], {"__row": F.lit(1)})
+    return numbered.where((F.col("__row") - 1) % n == 0).drop("__row", "__part")

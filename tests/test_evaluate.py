@@ -5,9 +5,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from icufeat.functions.order_stats import exact_quantiles, exact_ranks, modes
+from icufeat.functions.order_stats import exact_quantiles, exact_ranks, modes, ordered_parts
 from icufeat.functions.student import two_sided_p
-from icufeat.operators import evaluate, report
+from icufeat.operators import evaluate, prepare, report
 
 PREDS = "key BIGINT, target STRING, fold INT, y_true DOUBLE, y_pred DOUBLE, lower DOUBLE, upper DOUBLE"
 
@@ -130,3 +130,45 @@ def test_metrics_without_intervals(spark):
     df = preds(spark, [("SBP", 100, 104, 0, 1), ("SBP", 120, 110, 0, 1)]).withColumns({"lower": F.lit(None).cast("double"), "upper": F.lit(None).cast("double")})
     out = evaluate.error_metrics(df).first()
     assert out["interval_coverage"] is None and out["within_5"] == 50 and out["p90_error"] == pytest.approx(9.4)
+
+
+def test_order_under_one_value_in_nearly_all_rows(spark):
+    """Ranges part a tie by the next column: the fullest of eight holds less than a third of the rows."""
+    rows = [(i, "SBP", 1, 120.0 if i % 10 else float(i % 700), 0.0, None, None) for i in range(30_000)]
+    df = spark.createDataFrame(rows, "key BIGINT, target STRING, fold INT, y_true DOUBLE, y_pred DOUBLE, lower DOUBLE, upper DOUBLE").repartition(8)
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = [r["count"] for r in ordered_parts(df, ["target", "y_true", "key"]).groupBy("__part").count().collect()]
+        got = sorted((r["y_true"], r["key"]) for r in evaluate.every_nth(df, 10).collect())
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert len(sizes) == 8 and max(sizes) < 10_000
+    assert got == sorted((r[3], r[0]) for r in rows)[::10]
+
+
+def test_codes_of_levels_that_begin_alike(spark):
+    levels = [f"same beginning {i:04d}" for i in range(500)]
+    df = spark.createDataFrame([(v,) for v in levels * 3 + [None]], "word STRING")
+    got = {r["level"]: r["code"] for r in prepare.category_levels(df, "word").collect()}
+    assert got == {v: i for i, v in enumerate(levels)}
+
+
+def test_metrics_against_pandas(spark):
+    import numpy as np
+    import pandas as pd
+
+    draw = np.random.default_rng(2)
+    t = np.round(draw.normal(120, 15, 3_000))
+    p = np.round(t + draw.normal(0, 8, 3_000))
+    rows = [(i, "SBP", 1, float(a), float(b), float(b - 9), float(b + 9)) for i, (a, b) in enumerate(zip(t, p, strict=True))]
+    rows += [(-1, "SBP", 1, None, 3.0, None, None), (-2, "DBP", 1, 4.0, 5.0, 3.0, 6.0)]
+    df = spark.createDataFrame(rows, "key BIGINT, target STRING, fold INT, y_true DOUBLE, y_pred DOUBLE, lower DOUBLE, upper DOUBLE")
+    out = evaluate.error_metrics(df)
+    assert str(out._jdf.queryExecution().executedPlan()).count("Exchange") < 15
+    one = {r["target"]: r for r in out.collect()}
+    error = np.abs(t - p)
+    assert one["SBP"]["spearman_r"] == pytest.approx(pd.Series(t).rank().corr(pd.Series(p).rank()))
+    assert [one["SBP"][c] for c in ("median_error", "p90_error", "p95_error")] == pytest.approx(np.quantile(error, [0.5, 0.9, 0.95]))
+    assert one["SBP"]["mae"] == pytest.approx(error.mean()) and one["DBP"]["spearman_r"] is None and one["DBP"]["p90_error"] == 1.0
