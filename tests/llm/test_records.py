@@ -174,11 +174,11 @@ def test_reading_stops_early():
     x = draw.integers(-20, 20, (600, 6))
     x[::200] = [200, -200, 150, -150, 120, -120]
     q = np.array([[100, -100, 90, -80, 70, -60]])
-    got = list(topk.search_block(np.arange(600), x, np.array([-1]), q, 3))
-    assert got[0][1].tolist() == [0, 200, 400] and (got[0][2] == x[0] @ q[0]).all()
-
+    rows, scores, read = topk.Lists(np.arange(600), x).best(-1, q[0], 3)
+    assert read <= 600 * 6 / 2
+    assert rows.tolist() == [0, 200, 400] and (scores == x[0] @ q[0]).all()
 
 
 def test_scores_too_large():
-    with pytest.raises(ArithmeticError):
-        list(topk.search_block(np.arange(3), np.full((3, 2), 2**40), np.array([0]), np.full((1, 2), 2**40), 1))
+    rows, scores, _ = topk.Lists(np.arange(3), np.full((3, 2), 2**40)).best(0, np.full(2, 2**40), 1)
+    assert rows.tolist() == [1] and scores.tolist() == [2**63 - 1]
