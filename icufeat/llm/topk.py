@@ -25,8 +25,8 @@ from icufeat.llm.common import stored
 
 #: Candidates in a block, and queries that are broadcast to the blocks at a time.
 BLOCK, QUERIES = 4_096, 16_384
-#: A stride is this part of a list.
-STRIDES = 10
+#: Shares of a list that have been read when bounds are taken.
+STOPS = (0.05, 0.15, 0.35, 0.6, 0.75, 0.85, 0.93, 1.0)
 #: Scores are resolved when at most this many candidates per wanted one are left.
 LEFT = 16
 
@@ -67,7 +67,7 @@ class Lists:
         used = np.flatnonzero(q)
         read, entries = 0, 0
         left = np.setdiff1d(np.arange(n), np.arange(mine.start, mine.stop), assume_unique=True)
-        # Bounds are sums of floats; beyond 2^53 these are not exact, so they get that much room.
+        # Bounds are sums of whole floats; beyond 2^53 these are not exact, so they get that much room.
         size = len(q) * float(self.largest) * float(np.abs(q.astype(float)).max(initial=0))
         room = 0.0 if size < 2.0**53 else size * len(q) * 2.0**-51
         if len(used) and wanted > 0:
@@ -75,19 +75,24 @@ class Lists:
             used = np.concatenate([up, down])
             share = q[used].astype(float)
             fewest = np.concatenate([self.values[up, 0], self.values[down, -1]]) * share
-            known, seen = np.zeros(n), np.zeros((n, len(used)))
-            stride = max(1, -(-n // STRIDES))
-            while read < n and len(left) > LEFT * k:
-                to = min(n, read + stride)
+            known, seen = np.zeros(n), np.zeros((len(used), n), np.float32)
+            place = n * np.arange(len(used))[:, None]
+            for stop in STOPS:
+                to = max(1, int(stop * n))
+                if to <= read:
+                    continue
+                if len(left) <= LEFT * k:
+                    break
                 rows = np.concatenate([self.rows[up, n - to : n - read], self.rows[down, read:to]])
                 values = np.concatenate([self.values[up, n - to : n - read], self.values[down, read:to]])
                 known += np.bincount(rows.ravel(), (values * share[:, None]).ravel(), n)
-                seen[rows, np.arange(len(used))[:, None]] = 1.0
+                seen.ravel()[place + rows] = 1.0
                 entries, read = entries + rows.size, to
                 # An unread component gives what its list has come to at most, and its last entry at least.
                 most = np.concatenate([self.values[up, n - to], self.values[down, to - 1]]) * share
-                low = known + fewest.sum() - seen @ fewest
-                high = known + most.sum() - seen @ most
+                ends = np.stack([fewest, most])
+                got = (ends.astype(np.float32) @ seen) if size < 2.0**24 else ends @ seen.astype(float)
+                low, high = known + ends.sum(1, keepdims=True) - got
                 lows = low[left]
                 bar = np.partition(lows, len(lows) - wanted)[len(lows) - wanted] - room if len(lows) >= wanted else -np.inf
                 if least is not None:
