@@ -64,11 +64,15 @@ def join_small(big: DataFrame, small: DataFrame, keys: Sequence[str], *, how: st
 def salted_join(
     big: DataFrame, facts: DataFrame, keys: Sequence[str], *, how: str = "inner", salts: int = 32
 ) -> DataFrame:
-    """Inner or left join with one row of facts per key, copied `salts` times so that a hot key spreads."""
+    """Inner or left join with one row of facts per key, copied `salts` times so that a hot key spreads.
+
+    A row takes the copy of its partition's number, so equal rows spread too, and the
+    optimiser learns no equation over all columns, which it would repeat for every alias.
+    """
     copies = facts.withColumnsRenamed({k: f"__k_{k}" for k in keys}).withColumn(
         "__copy", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     )
-    salted = big.withColumn("__salt", F.pmod(F.xxhash64(*big.columns), F.lit(salts)))
+    salted = big.withColumn("__salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
     condition = F.col("__salt") == F.col("__copy")
     for k in keys:
         condition = condition & salted[k].eqNullSafe(copies[f"__k_{k}"])
