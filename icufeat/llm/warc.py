@@ -3,42 +3,49 @@
 A capture is written as three records: a request, a response (or a revisit, if an
 earlier capture has the same payload) and metadata, where request and metadata name
 the response in WARC-Concurrent-To. Reading gives one row per record; assembly brings
-the records of a transaction together by that identifier and gives one nested row per
-capture.
+the records of a transaction together by the links of that header and gives one nested
+row per capture.
 
-Archives are plain WARC 1.1 files, compressed as a whole. Spark's text writer stores
-them and its binary reader fetches them, so they may lie in any store Spark can reach.
+Archives are plain WARC 1.1 files, compressed as a whole or record by record. Spark's text
+writer stores them and its text reader streams them, cut at blank lines, so they may lie in
+any store Spark can reach.
 """
 
 from __future__ import annotations
 
-import gzip
 import hashlib
 from collections.abc import Iterable, Iterator
+from itertools import groupby
+from operator import itemgetter
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from icufeat.llm.common import join_facts, stored
+from icufeat.llm.common import in_slices, join_facts, stored
+from icufeat.llm.jaccard import components
 
-CRLF = "\r\n"
+CRLF, BLANK = "\r\n", b"\r\n\r\n"
 #: Payloads from this size on are stored once.
 SHARED_FROM = 100
-#: Payload bytes in an archive file, about; one file is one row when it is read.
+#: Payload bytes in an archive file, about; a file is read by one task.
 FILE_BYTES = 8 << 20
+#: Payload bytes that a reading task gathers before it passes records on.
+BATCH_BYTES = 8 << 20
 
 RECORD = T.StructType([
     T.StructField("record_id", T.StringType()),
     T.StructField("record_type", T.StringType()),
     T.StructField("concurrent_to", T.StringType()),
+    T.StructField("also_concurrent_to", T.ArrayType(T.StringType())),
     T.StructField("refers_to", T.StringType()),
     T.StructField("target_uri", T.StringType()),
     T.StructField("date", T.StringType()),
     T.StructField("payload_digest", T.StringType()),
     T.StructField("payload_bytes", T.LongType()),
     T.StructField("intact", T.BooleanType()),
+    T.StructField("truncated", T.BooleanType()),
     T.StructField("fields", T.MapType(T.StringType(), T.StringType())),
     T.StructField("payload", T.BinaryType()),
 ])
@@ -122,99 +129,188 @@ def write_archives(pages: DataFrame, path: str, *, key: str = "page_id", url: st
     rows.select(value.alias("value")).write.option("lineSep", "\r\n\r\n").option("compression", "gzip").option("maxRecordsPerFile", per_file).text(path)
 
 
-def parse_records(data: bytes) -> Iterator[tuple[dict[str, str], memoryview]]:
-    """Headers (lower-case names) and block of each record of an archive."""
-    view, at = memoryview(data), 0
-    while at < len(data):
-        end = data.index(b"\r\n\r\n", at)
-        lines = data[at:end].decode("utf-8", "replace").split(CRLF)
-        if not lines[0].startswith("WARC/"):
-            raise ValueError(f"no WARC record at byte {at}")
-        heads = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines[1:])}
-        size = int(heads["content-length"])
-        yield heads, view[end + 4 : end + 4 + size]
-        at = end + 4 + size
-        while data[at : at + 2] == b"\r\n":
-            at += 2
-
-
-def _split_http(block: memoryview) -> tuple[dict[str, str], memoryview | None]:
+def _heads(text: bytes) -> tuple[dict[str, list[str]], int | None]:
+    """Values by lower-case header name, and the block's length; None where `text` is no head or names no length."""
+    lines = text.decode("utf-8", "replace").split(CRLF)
+    heads: dict[str, list[str]] = {}
+    if not lines[0].startswith("WARC/"):
+        return heads, None
+    last: list[str] = []
+    for line in lines[1:]:
+        if line[:1] in (" ", "\t") and last:
+            last[-1] += " " + line.strip()
+        else:
+            name, _, value = line.partition(":")
+            last = heads.setdefault(name.strip().lower(), [])
+            last.append(value.strip())
+    size = heads.get("content-length", [""])[0]
+    return heads, int(size) if size.isascii() and size.isdigit() else None
+
+
+def parse_pieces(pieces: Iterable[bytes]) -> Iterator[tuple[dict[str, list[str]], bytes, bool]]:
+    """(headers, block, whole) of each record of an archive, given what lies between its blank lines.
+
+    Holds one record at a time. A record that the archive ends in, or whose head names no
+    length, is not whole; the latter has no block. Bytes where a record should begin and
+    none does are skipped up to the next head, and give one record without headers.
+    """
+    heads: dict[str, list[str]] | None = None
+    size, have, parts, lost = 0, 0, [], False
+    for piece in pieces:
+        if heads is not None:
+            # A blank line inside the block, or the end of it.
+            rest = BLANK + piece if parts else piece
+            parts.append(rest[: size - have])
+            have += len(parts[-1])
+            if have < size:
+                continue
+            yield heads, b"".join(parts), True
+            heads, piece = None, rest[len(parts[-1]) :]
+        piece = piece.lstrip(b"\r\n")
+        if not piece:
+            continue
+        heads, length = _heads(piece)
+        if length:
+            size, have, parts, lost = length, 0, [], False
+            continue
+        if heads or not lost:
+            yield heads, b"", length == 0
+        heads, lost = None, length is None
+    if heads is not None:
+        yield heads, b"".join(parts), False
+
+
+def parse_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
+    """First value of each header, and the block, of each record of an archive in memory."""
+    for heads, block, _ in parse_pieces(data.split(BLANK)):
+        yield {k: v[0] for k, v in heads.items()}, block
+
+
+def _split_http(block: bytes) -> tuple[dict[str, str], memoryview | None]:
     """Headers and payload of an HTTP message; no payload where the blank line that ends the head is missing."""
-    raw = bytes(block)
-    end = raw.find(b"\r\n\r\n")
-    lines = raw[: max(0, end)].decode("utf-8", "replace").split(CRLF)[1:]
-    return {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines)}, block[end + 4 :] if end >= 0 else None
+    end = block.find(BLANK)
+    lines = block[: max(0, end)].decode("utf-8", "replace").split(CRLF)[1:]
+    return {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines)}, memoryview(block)[end + 4 :] if end >= 0 else None
+
+
+def _row(heads: dict[str, list[str]], block: bytes, whole: bool, payload: bool) -> tuple:
+    """A record as a row of RECORD."""
+
+    def named(header: str) -> str | None:
+        return heads.get(header, [None])[0]
+
+    type_, size, digest, intact, fields, body = named("warc-type"), None, None, None, None, None
+    if type_ in ("response", "revisit"):
+        http, held = _split_http(block)
+        digest = (named("warc-payload-digest") or "").partition(":")[2] or None
+        if type_ == "revisit":
+            length = http.get("content-length", "")
+            size = int(length) if length.isascii() and length.isdigit() else None
+        elif held is not None:
+            size = len(held)
+            real = hashlib.sha256(held).hexdigest()
+            digest, intact = digest or real, whole and digest in (None, real)
+            body = bytes(held) if payload else None
+    elif type_ == "metadata":
+        lines = block.decode("utf-8", "replace").split(CRLF)
+        fields = list({k.strip(): v.strip() for k, sep, v in (x.partition(":") for x in lines) if sep}.items())
+    first, *others = heads.get("warc-concurrent-to", [None])
+    return (
+        named("warc-record-id"), type_, first, others, named("warc-refers-to"), named("warc-target-uri"), named("warc-date"),
+        digest, size, intact, not whole, fields, body,
+    )
 
 
-def read_archives(spark: SparkSession, path: str, *, payload: bool = True) -> DataFrame:
-    """One row per record of the archives under `path`; `payload=False` leaves the payloads out.
+def read_archives(spark: SparkSession, path: str, *, payload: bool = True, salvage: bool = False) -> DataFrame:
+    """One row per record of the archives (`*.gz`) under `path`; `payload=False` leaves the payloads out.
 
-    payload_bytes and payload_digest are those of the full payload, also for a revisit;
-    `intact` tells whether a stored payload has the digest its header names.
+    Archives are read from one blank line to the next, so a task holds a batch of such
+    pieces and one record, whatever the size of a file. payload_bytes and payload_digest
+    are those of the full payload, also for a revisit; `intact` tells whether a stored
+    payload has the digest its header names. A record that is cut short, or whose head is
+    damaged, is `truncated` and keeps what there is of it (see `parse_pieces`). A file that
+    cannot be decompressed ends the job; with `salvage` what comes before the damage is kept.
     """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.schema([
-            ("record_id", pa.string()), ("record_type", pa.string()), ("concurrent_to", pa.string()), ("refers_to", pa.string()), ("target_uri", pa.string()),
-            ("date", pa.string()), ("payload_digest", pa.string()), ("payload_bytes", pa.int64()), ("intact", pa.bool_()),
-            ("fields", pa.map_(pa.string(), pa.string())), ("payload", pa.binary()),
+            ("record_id", pa.string()), ("record_type", pa.string()), ("concurrent_to", pa.string()), ("also_concurrent_to", pa.list_(pa.string())),
+            ("refers_to", pa.string()), ("target_uri", pa.string()), ("date", pa.string()), ("payload_digest", pa.string()), ("payload_bytes", pa.int64()),
+            ("intact", pa.bool_()), ("truncated", pa.bool_()), ("fields", pa.map_(pa.string(), pa.string())), ("payload", pa.binary()),
         ])
-        for b in batches:
-            for content in b.column(0):
-                data = content.as_py() or b""
-                if data[:2] == b"\x1f\x8b":
-                    data = gzip.decompress(data)
-                rows: list[tuple] = []
-                for heads, block in parse_records(data):
-                    type_, size, digest, intact, fields, body = heads.get("warc-type"), None, None, None, None, None
-                    if type_ in ("response", "revisit"):
-                        http, stored_bytes = _split_http(block)
-                        _, _, digest = heads.get("warc-payload-digest", "").partition(":")
-                        if type_ == "response" and stored_bytes is None:
-                            digest = digest or None
-                        elif type_ == "response":
-                            size = len(stored_bytes)
-                            real = hashlib.sha256(stored_bytes).hexdigest()
-                            digest, intact = digest or real, digest in ("", real)
-                            body = bytes(stored_bytes) if payload else None
-                        else:
-                            size = int(http["content-length"]) if "content-length" in http else None
-                    elif type_ == "metadata":
-                        lines = bytes(block).decode("utf-8", "replace").split(CRLF)
-                        fields = [(k.strip(), v.strip()) for k, sep, v in (x.partition(":") for x in lines) if sep]
-                    rows.append((
-                        heads.get("warc-record-id"), type_, heads.get("warc-concurrent-to"), heads.get("warc-refers-to"), heads.get("warc-target-uri"),
-                        heads.get("warc-date"), digest, size, intact, fields, body,
-                    ))
-                for at in range(0, len(rows), 1_000):
-                    part = rows[at : at + 1_000]
-                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*part, strict=True), kind, strict=True)], schema=kind)
-
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").option("recursiveFileLookup", "true").load(path)
-    return files.select("content").mapInArrow(run, RECORD)
 
+        def as_batch(rows: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), kind, strict=True)], schema=kind)
+
+        pieces = (row for b in in_slices(batches) for row in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True))
+        rows: list[tuple] = []
+        held = 0
+        for _, of_file in groupby(pieces, itemgetter(0)):
+            for heads, block, whole in parse_pieces(map(itemgetter(1), of_file)):
+                rows.append(_row(heads, block, whole, payload))
+                held += len(rows[-1][-1] or b"")
+                if len(rows) == 1_000 or held >= BATCH_BYTES:
+                    yield as_batch(rows)
+                    rows, held = [], 0
+        if rows:
+            yield as_batch(rows)
+
+    files = (
+        spark.read.format("text").option("lineSep", "\r\n\r\n").option("pathGlobFilter", "*.gz").option("recursiveFileLookup", "true")
+        .option("ignoreCorruptFiles", str(salvage).lower()).load(path)
+    )
+    # A compressed file is never split: its pieces come in order and one after the other.
+    return files.select(F.col("_metadata.file_path"), F.col("value").cast("binary")).mapInArrow(run, RECORD)
+
+
+def _roots(own: Column, names: Column, records: DataFrame) -> DataFrame | None:
+    """(v, c): one identifier `c` for all identifiers `v` that are linked over more than one hop; None if there are none.
+
+    A record that names one other and is not named itself belongs to the one it names,
+    which takes no search. Only the links of all other records go through `components`.
+    """
+    edges = stored(records.select(own.alias("a"), F.explode(names).alias("b")).filter("a <> b").distinct(), "warc-links")
+    named = edges.select(F.col("b").alias("a")).distinct()
+    several = edges.groupBy("a").agg(F.count("*").alias("n")).filter("n > 1").select("a")
+    inner = several.unionByName(edges.select("a").distinct().join(named, "a", "left_semi")).distinct()
+    core = stored(edges.join(inner, "a", "left_semi"), "warc-core")
+    return None if core.isEmpty() else components(core)
 
-def assemble(records: DataFrame) -> DataFrame:
-    """One nested row per capture: (capture_id, response, requests, metadata, copies).
 
-    Records meet at the identifier of the response: its own record_id, and what request
-    and metadata records name in WARC-Concurrent-To. `response` is the response or revisit
-    (null if the archives lack it), `requests` and `metadata` are arrays of the different
-    records; a record without any identifier is its own capture. Records repeated under
-    one identifier are the same capture, counted by `copies` (1 at least).
+def assemble(records: DataFrame) -> DataFrame:
+    """One nested row per capture: (capture_id, response, others, requests, metadata, copies).
+
+    Records belong together when WARC-Concurrent-To links them, whichever of them names the
+    other and over any number of records. `response` is the response or revisit (null if the
+    archives lack it), `others` are further different ones of the same capture, `requests`
+    and `metadata` arrays of the different records. capture_id is the response's record_id,
+    else one of the identifiers named. A record without any identifier is its own capture,
+    together with records that equal it as a whole. Records repeated under one identifier are
+    the same capture; `copies` counts the rows of the response (1 at least). Damaged records
+    without a type are captures without any record.
     """
     kind = F.col("record_type")
     main = kind.isin("response", "revisit")
-    link = F.coalesce(F.when(main, F.col("record_id")), F.col("concurrent_to"), F.col("record_id"), F.concat(F.lit("?"), F.xxhash64(F.coalesce("target_uri", F.lit("")))))
     # Maps cannot be grouped or compared; their entries can.
     flat = F.struct(*[F.map_entries(c).alias(c) if c == "fields" else F.col(c) for c in records.columns])
-    return (
-        records.withColumn("capture_id", link)
-        .groupBy("capture_id")
-        .agg(
-            F.max(F.when(main, flat)).alias("response"),
-            F.array_sort(F.collect_set(F.when(kind == "request", flat))).alias("requests"),
-            F.array_sort(F.collect_set(F.when(kind == "metadata", flat))).alias("metadata"),
-            F.greatest(F.count(F.when(main, F.lit(1))), F.lit(1)).alias("copies"),
-        )
+    own = F.coalesce("record_id", F.concat(F.lit("?"), F.md5(F.to_json(flat))))
+    names = F.array_compact(F.concat(F.array("concurrent_to"), F.coalesce("also_concurrent_to", F.array().cast("array<string>"))))
+    linked = records.withColumn("__hub", F.coalesce(F.try_element_at(names, F.lit(1)), own))
+    roots = _roots(own, names, records)
+    if roots is not None:
+        linked = linked.join(roots, F.col("__hub") == F.col("v"), "left").withColumn("__hub", F.coalesce("c", "__hub"))
+    grouped = linked.groupBy("__hub").agg(
+        F.collect_set(F.when(main, flat)).alias("mains"),
+        F.array_sort(F.collect_set(F.when(kind == "request", flat))).alias("requests"),
+        F.array_sort(F.collect_set(F.when(kind == "metadata", flat))).alias("metadata"),
+        F.count(F.when(main, F.lit(1))).alias("n"),
+    )
+    response = F.array_max("mains")
+    return grouped.select(
+        F.coalesce(response["record_id"], "__hub").alias("capture_id"),
+        response.alias("response"),
+        F.array_except("mains", F.array(response)).alias("others"),
+        "requests",
+        "metadata",
+        F.greatest(F.col("n") - F.size("mains") + 1, F.lit(1).cast("long")).alias("copies"),
     )
