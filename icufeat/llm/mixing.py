@@ -11,8 +11,9 @@ holds only these factors; a source's own factor follows from them within its row
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,6 +25,10 @@ POWER = 0.7
 #: Share of the tokens that the sample has.
 BUDGET = 0.5
 ROUNDS, CLOSE = 200, 1e-12
+#: Rounds in a row that change the sums as much as the round before: the targets are out of reach.
+STALLED = 5
+#: Targets count as met up to this share; weights below LEAST_WEIGHT of the largest do not stretch the search for the scale.
+MET, LEAST_WEIGHT = 1e-6, 1e-15
 SEED = "mix"
 #: Topics by the first pattern that the text holds.
 TOPICS = (("legal", "(?i)licen[cs]e|copyright"), ("contact", r"@|\+1 \("), ("table", r"\|"), ("numeric", "[0-9]{4}"))
@@ -31,9 +36,31 @@ OTHER_TOPIC = "prose"
 NO_LANGUAGE, NO_SOURCE = "und", ""
 
 
+@dataclass(frozen=True)
+class Targets:
+    """Wanted shares of the tokens by source, language and topic; a group that is not named gets none.
+
+    They need not add up to 1. An empty mapping takes the table's own shares to the power
+    `power`. Names without tokens in the table are left out, and the others fill their place.
+    """
+
+    sources: Mapping[str, float] = field(default_factory=dict)
+    languages: Mapping[str, float] = field(default_factory=dict)
+    topics: Mapping[str, float] = field(default_factory=dict)
+
+    def __post_init__(self) -> None:
+        for shares in (self.sources, self.languages, self.topics):
+            if shares and not (all(0 <= v < float("inf") for v in shares.values()) and any(shares.values())):
+                raise ValueError("target shares are at least 0, and one of them above")
+
+
 @dataclass(frozen=True)
 class Mix:
-    """Factors per source (a stored frame), and per language and topic; `scale` turns weights into probabilities."""
+    """Factors per source (a stored frame), and per language and topic; `scale` turns weights into probabilities.
+
+    `error` is how far, at most, a group's tokens are from its target, as a share of the
+    target (`missed` by group): targets that no weights can meet leave it above CLOSE.
+    """
 
     sources: DataFrame
     factors: dict[tuple[str, str], float]
@@ -41,6 +68,7 @@ class Mix:
     rows: int
     rounds: int
     error: float
+    missed: dict[str, float] = field(default_factory=dict)
 
 
 def topic_of(text: Column, topics: tuple[tuple[str, str], ...] = TOPICS) -> Column:
@@ -50,15 +78,18 @@ def topic_of(text: Column, topics: tuple[tuple[str, str], ...] = TOPICS) -> Colu
     return out
 
 
-def with_cells(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """`docs` with __source, __lang, __topic, __tokens (words) and __draw (in [0, 1), from id and text); nulls are groups of their own."""
+def with_cells(docs: DataFrame, *, key: str = "doc_id", text: str = "text", topic: Column | None = None) -> DataFrame:
+    """`docs` with __source, __lang, __topic, __tokens (words) and __draw (in [0, 1), from id and text); nulls are groups of their own.
+
+    `topic` is any expression over the columns of `docs`; without it the patterns TOPICS decide.
+    """
     body = F.coalesce(F.col(text), F.lit(""))
     digest = F.md5(F.concat_ws("|", F.lit(SEED), F.col(key).cast("string"), body))
     return docs.select(
         "*",
         F.coalesce("source", F.lit(NO_SOURCE)).alias("__source"),
         F.coalesce("lang", F.lit(NO_LANGUAGE)).alias("__lang"),
-        topic_of(body).alias("__topic"),
+        (topic_of(body) if topic is None else F.coalesce(topic.cast("string"), F.lit(OTHER_TOPIC))).alias("__topic"),
         F.regexp_count(body, F.lit(WORD)).cast("long").alias("__tokens"),
         (F.conv(F.substring(digest, 1, 13), 16, 10).cast("long") / F.lit(float(1 << 52))).alias("__draw"),
     )
@@ -71,11 +102,23 @@ def _factor(lang: Column, topic: Column, factors: Mapping[tuple[str, str], float
     return F.coalesce(F.try_element_at(table, F.concat(lang, F.lit("\u0000"), topic)), F.lit(0.0))
 
 
-def fit_mix(cells: DataFrame, *, power: float = POWER, budget: float = BUDGET) -> Mix:
+def _wished(cells: DataFrame, wished: Targets) -> DataFrame:
+    """`cells` where groups whose target is 0 have no tokens."""
+    keep = F.lit(True)
+    for column, shares in (("__source", wished.sources), ("__lang", wished.languages), ("__topic", wished.topics)):
+        if shares:
+            keep = keep & F.col(column).isin([k for k, v in shares.items() if v > 0])
+    return cells.withColumn("__tokens", F.when(keep, F.col("__tokens")).otherwise(F.lit(0).cast("long")))
+
+
+def fit_mix(cells: DataFrame, *, power: float = POWER, budget: float = BUDGET, targets: Targets | None = None) -> Mix:
     """Factors that rake the tokens of `cells` (columns of `with_cells`) to target shares of source, language and topic.
 
-    Documents without a word weigh nothing. A table without words gives a mix without factors.
+    Documents without a word weigh nothing, nor do those of groups whose target is 0. A
+    table without words that count gives a mix without factors.
     """
+    wished = targets or Targets()
+    cells = _wished(cells, wished)
     sums = cells.groupBy("__source", "__lang", "__topic").agg(F.sum("__tokens").alias("tokens"), F.count("*").alias("n"))
     per_source = stored(
         sums.groupBy("__source").agg(
@@ -85,56 +128,73 @@ def fit_mix(cells: DataFrame, *, power: float = POWER, budget: float = BUDGET) -
         ),
         "mix-cells",
     )
-    whole = per_source.agg(F.sum("total").alias("tokens"), F.sum("n").alias("n"), F.sum(F.pow("total", F.lit(power))).alias("powers")).first()
+    share = F.pow("total", F.lit(power))
+    if wished.sources:
+        table = F.create_map(*[F.lit(x) for k, v in wished.sources.items() for x in (k, float(v))])
+        share = F.coalesce(F.try_element_at(table, F.col("__source")), F.lit(0.0))
+    share = F.when(F.col("total") > 0, share).otherwise(0.0)
+    whole = per_source.agg(F.sum("total").alias("tokens"), F.sum("n").alias("n"), F.sum(share).alias("shares")).first()
     if not whole.tokens:
-        return Mix(per_source.select("__source", "n", F.lit(0.0).alias("factor")), {}, 0.0, whole.n or 0, 0, 0.0)
+        return Mix(per_source.select("__source", "n", F.lit(0.0).alias("factor")), {}, 0.0, whole.n or 0, 0, 0.0, {})
     flat = per_source.select("total", F.inline("cells"))
     base = {(r[0], r[1]): float(r[2]) for r in flat.groupBy("__lang", "__topic").agg(F.sum("tokens")).collect()}
     total = float(whole.tokens)
 
-    def targets(at: int) -> dict[str, float]:
+    def goals(at: int, shares: Mapping[str, float]) -> dict[str, float]:
         own: dict[str, float] = {}
         for k, v in base.items():
             own[k[at]] = own.get(k[at], 0.0) + v
-        powers = sum(v**power for v in own.values())
-        return {k: total * v**power / powers for k, v in own.items()}
+        own = {k: float(shares[k]) if shares else v**power for k, v in own.items()}
+        return {k: total * v / sum(own.values()) for k, v in own.items()}
 
-    by_lang, by_topic = targets(0), targets(1)
+    by_lang, by_topic = goals(0, wished.languages), goals(1, wished.topics)
     b, c = dict.fromkeys(by_lang, 1.0), dict.fromkeys(by_topic, 1.0)
-    wanted = F.pow("total", F.lit(power)) / F.lit(float(whole.powers)) * F.lit(total)
+    wanted = share / F.lit(float(whole.shares)) * F.lit(total)
 
     def raked(factors: Mapping[tuple[str, str], float]) -> DataFrame:
         weighed = F.aggregate("cells", F.lit(0.0), lambda s, x: s + x["tokens"] * _factor(x["__lang"], x["__topic"], factors))
-        return per_source.withColumn("factor", F.when(F.col("total") > 0, wanted / weighed).otherwise(0.0))
+        return per_source.withColumn("factor", F.when(F.col("total") > 0, F.coalesce(F.try_divide(wanted, weighed), F.lit(0.0))).otherwise(0.0))
 
     def all_factors() -> dict[tuple[str, str], float]:
         return {k: b[k[0]] * c[k[1]] for k in base}
 
-    rounds, error = 0, 1.0
-    while rounds < ROUNDS and error > CLOSE:
+    def sums_with(raked_sources: DataFrame) -> dict[tuple[str, str], float]:
+        sums_now = raked_sources.select("factor", F.inline("cells")).groupBy("__lang", "__topic").agg(F.sum(F.col("factor") * F.col("tokens")))
+        return {(r[0], r[1]): r[2] for r in sums_now.collect()}
+
+    rounds, moved, stalled = 0, 1.0, 0
+    while rounds < ROUNDS and moved > CLOSE and stalled < STALLED:
         rounds += 1
-        sums_now = raked(all_factors()).select("factor", F.inline("cells")).groupBy("__lang", "__topic").agg(F.sum(F.col("factor") * F.col("tokens")))
-        m = {(r[0], r[1]): r[2] for r in sums_now.collect()}
-        error = 0.0
+        m = sums_with(raked(all_factors()))
+        before, moved = moved, 0.0
         for own, at, goal in ((b, 0, by_lang), (c, 1, by_topic)):
             got = dict.fromkeys(goal, 0.0)
             for k, v in m.items():
                 got[k[at]] += v * b[k[0]] * c[k[1]]
             for name in own:
-                change = goal[name] / got[name]
-                error = max(error, abs(change - 1))
+                # Targets out of reach drive a group's weights to nothing.
+                change = goal[name] / got[name] if got[name] > 0 else 1.0
+                moved = max(moved, abs(change - 1))
                 own[name] *= change
+        stalled = stalled + 1 if abs(before - moved) <= MET * moved else 0
 
     factors = all_factors()
     sources = stored(raked(factors).select("__source", "n", "cells", "factor"), "mix-sources")
     weights = sources.select("factor", F.inline("cells")).select("tokens", (F.col("factor") * _factor(F.col("__lang"), F.col("__topic"), factors)).alias("w"))
-    ends = weights.agg(F.min("w"), F.max("w")).first()
+    missed: dict[str, float] = {}
+    final = sums_with(sources)
+    for kind, at, goal in (("language", 0, by_lang), ("topic", 1, by_topic)):
+        for name, want in goal.items():
+            got = sum(v * factors[k] for k, v in final.items() if k[at] == name)
+            missed[f"{kind} {name}"] = got / want - 1
+    error = max(map(abs, missed.values()))
+    ends = weights.agg(F.min(F.when(F.col("w") > 0, F.col("w"))), F.max("w")).first()
 
     def sizes(scales: list[float]) -> list[float]:
         return list(weights.agg(*[F.sum(F.col("tokens") * F.least(F.lit(1.0), F.col("w") * s)) for s in scales]).first())
 
     # The expected size rises with the scale, along straight lines between the places where a cell reaches 1.
-    lo, hi = 0.5 / ends[1], 1.0 / ends[0]
+    lo, hi = 0.5 / ends[1], 1.0 / max(ends[0], ends[1] * LEAST_WEIGHT)
     for _ in range(4):
         grid = [lo * (hi / lo) ** (i / 48) for i in range(49)]
         got = sizes(grid)
@@ -144,7 +204,7 @@ def fit_mix(cells: DataFrame, *, power: float = POWER, budget: float = BUDGET) -
             break
         lo, hi, got_lo, got_hi = grid[at - 1], grid[at], got[at - 1], got[at]
     scale = lo + (hi - lo) * min(1.0, (budget * total - got_lo) / (got_hi - got_lo)) if got_hi > got_lo else hi
-    return Mix(sources.drop("cells"), factors, float(scale), whole.n, rounds, error)
+    return Mix(sources.drop("cells"), factors, float(scale), whole.n, rounds, error, missed)
 
 
 def with_probability(cells: DataFrame, mix: Mix) -> DataFrame:
@@ -155,23 +215,39 @@ def with_probability(cells: DataFrame, mix: Mix) -> DataFrame:
     return joined.withColumn("__weight", weight).withColumn("__p", p).drop("__factor")
 
 
-def draw(docs: DataFrame, *, power: float = POWER, budget: float = BUDGET, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of `docs`, all columns, that the sample holds."""
-    cells = with_cells(docs, key=key, text=text)
-    chosen = with_probability(cells, fit_mix(cells, power=power, budget=budget)).filter(F.col("__draw") < F.col("__p"))
+def _fitted(cells: DataFrame, power: float, budget: float, targets: Targets | None) -> Mix:
+    """The fitted mix, with a warning where it misses its targets."""
+    mix = fit_mix(cells, power=power, budget=budget, targets=targets)
+    if mix.error > MET:
+        worst = max(mix.missed, key=lambda k: abs(mix.missed[k]))
+        warnings.warn(f"the target of {worst} is missed by {mix.missed[worst]:+.3g} of it", stacklevel=3)
+    return mix
+
+
+def draw(
+    docs: DataFrame, *, power: float = POWER, budget: float = BUDGET, key: str = "doc_id", text: str = "text", targets: Targets | None = None, topic: Column | None = None
+) -> DataFrame:
+    """The rows of `docs`, all columns, that the sample holds.
+
+    `budget` is a share of the tokens of the groups that have a target. Targets that cannot all be met give a warning.
+    """
+    cells = with_cells(docs, key=key, text=text, topic=topic)
+    chosen = with_probability(cells, _fitted(cells, power, budget, targets)).filter(F.col("__draw") < F.col("__p"))
     return chosen.select(*docs.columns)
 
 
-def mix_table(docs: DataFrame, *, power: float = POWER, budget: float = BUDGET, key: str = "doc_id", text: str = "text") -> DataFrame:
+def mix_table(
+    docs: DataFrame, *, power: float = POWER, budget: float = BUDGET, key: str = "doc_id", text: str = "text", targets: Targets | None = None, topic: Column | None = None
+) -> DataFrame:
     """(key, source, lang, topic, tokens, weight, probability, selected) of every row.
 
     A null source is the source ``, a null language `und`; a null text has no words, and a
-    text without words is never selected. Repeated rows share a draw. A cell whose
+    text without words, or of a group whose target is 0, is never selected. Repeated rows share a draw. A cell whose
     probability would exceed 1 is taken whole.
     """
     # The texts are read once: what the draw needs of them is stored.
-    cells = stored(with_cells(docs, key=key, text=text).select(key, "__source", "__lang", "__topic", "__tokens", "__draw"), "mix-rows")
-    out = with_probability(cells, fit_mix(cells, power=power, budget=budget))
+    cells = stored(with_cells(docs, key=key, text=text, topic=topic).select(key, "__source", "__lang", "__topic", "__tokens", "__draw"), "mix-rows")
+    out = with_probability(cells, _fitted(cells, power, budget, targets))
     return out.select(
         key,
         F.col("__source").alias("source"),
